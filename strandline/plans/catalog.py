@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from strandline.plans import records
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES}
+ORACLES: dict[str, str] = {**records.ORACLES}
 FLAGSHIP = "q_cascade_counts"
