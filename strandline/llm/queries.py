@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, packing, survivors
+from strandline.llm import bpe, language, packing, survivors
 from strandline.session import cut, table
 
 
@@ -43,8 +43,25 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(cut(sizes), table(spark, d, "budgets"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Languages with a whole sentence in a text that its label does not name."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language.unnamed(language.segments(docs), docs)
+
+
+def p8_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every stretch of one language with its confidence."""
+    return language.segments(table(spark, d, "documents").select("doc_id", "text", "lang"))
+
+
+def p8_documents(spark: SparkSession, d: str) -> DataFrame:
+    """One language per document, with its confidence and its share of the text."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language.documents(language.segments(docs), docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p4_found, p4_survivors, p4_consistent, p6_ids, p7_containers)
+    f.__name__: f for f in (p4_found, p4_survivors, p4_consistent, p6_ids, p7_containers, p8_found, p8_segments, p8_documents)
 }
 
 # Titles are judged by the rule that the operator's docstring states.
