@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, language, packing, survivors
+from strandline.llm import bpe, language, packing, similar, survivors
 from strandline.session import cut, table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of entries of one group of near-duplicates."""
+    return similar.group_pairs(similar.groups(table(spark, d, "manifest"), table(spark, d, "abstracts")))
+
+
+def p2_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Entries that are like another, with their group and number of links."""
+    return similar.groups(table(spark, d, "manifest"), table(spark, d, "abstracts"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Entry from which doi, year and title of each shared text_key survive."""
     got = survivors.choose(table(spark, d, "manifest"), survivors.manifest_bundles(), table(spark, d, "source_trust"))
@@ -61,7 +71,7 @@ def p8_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p4_found, p4_survivors, p4_consistent, p6_ids, p7_containers, p8_found, p8_segments, p8_documents)
+    f.__name__: f for f in (p2_found, p2_groups, p4_found, p4_survivors, p4_consistent, p6_ids, p7_containers, p8_found, p8_segments, p8_documents)
 }
 
 # Titles are judged by the rule that the operator's docstring states.
