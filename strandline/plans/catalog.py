@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import records
+from strandline.plans import curation, records
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES}
-ORACLES: dict[str, str] = {**records.ORACLES}
-FLAGSHIP = "q_cascade_counts"
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES, **curation.query.queries}
+ORACLES: dict[str, str] = {**records.ORACLES, **curation.query.oracles}
+FLAGSHIP = "q_ledger_current"
