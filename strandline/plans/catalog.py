@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import curation, records
+from strandline.plans import curation, exposures, records
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES, **curation.query.queries}
-ORACLES: dict[str, str] = {**records.ORACLES, **curation.query.oracles}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES, **curation.query.queries, **exposures.query.queries}
+ORACLES: dict[str, str] = {**records.ORACLES, **curation.query.oracles, **exposures.query.oracles}
 FLAGSHIP = "q_ledger_current"
