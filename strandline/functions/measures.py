@@ -57,8 +57,14 @@ def same_value(a: Column, b: Column) -> Column:
     return F.when(one, close(F.get(u, F.lit(0)), F.get(v, F.lit(0)))).when((F.size(u) == 0) & (F.size(v) == 0), state(a) == state(b)).otherwise(u == v)
 
 
+def half_up(x: Column, digits: int) -> Column:
+    """Rounded half up on the binary value: the same in every engine with IEEE doubles."""
+    f = float(10**digits)
+    return F.floor(x * f + 0.5) / f
+
+
 def duty_cycle(duration_ms: Column, rate_hz: Column) -> Column:
-    return F.round(duration_ms * rate_hz / 10, 3)
+    return half_up(duration_ms * rate_hz / 10, 3)
 
 
 def differs(computed: Column, stated: Column, share: float = 0.05) -> Column:
@@ -67,7 +73,7 @@ def differs(computed: Column, stated: Column, share: float = 0.05) -> Column:
 
 
 def implied_duration(duty_pct: Column, rate_hz: Column) -> Column:
-    return F.round(F.try_divide(duty_pct * 10, rate_hz), 4)
+    return half_up(F.try_divide(duty_pct * 10, rate_hz), 4)
 
 
 def intensity(pressure_kpa: Column) -> Column:

@@ -11,6 +11,7 @@ import difflib
 import functools
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,6 +40,12 @@ def _accents() -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once: inside a lambda an expression over a column
+    would be evaluated for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def fold_dashes(c: Column) -> Column:
     return F.translate(c, DASHES, "-" * len(DASHES))
 
@@ -185,7 +192,7 @@ def title_words_found(title: Column, text: Column, share: float = 0.4, least: in
     """At least ``share`` of the title's words of four letters or more occur in the text; true
     for a text of under ``least`` characters, which proves nothing."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(strip_accents(title)), F.lit("([a-z]{4,})"), 1))
-    hits = F.size(F.filter(words, lambda w: F.contains(F.lower(strip_accents(text)), w)))
+    hits = let(F.lower(strip_accents(text)), lambda t: F.size(F.filter(words, lambda w: F.contains(t, w))))
     return F.when(F.coalesce(F.length(text), F.lit(0)) < least, True).otherwise(F.coalesce(F.try_divide(hits, F.size(words)) >= share, F.lit(True)))
 
 
@@ -243,6 +250,5 @@ def authors_short(families: Column) -> Column:
 def restore_inverted(index: Column) -> Column:
     """Text of an inverted index MAP<word, positions>; the later word wins a position."""
     pairs = F.flatten(F.transform(F.map_entries(index), lambda e, i: F.transform(e.value, lambda p: F.struct(p.alias("p"), i.alias("i"), e.key.alias("w")))))
-    ordered = F.array_sort(pairs)
-    last = F.filter(ordered, lambda x, i: F.coalesce(F.get(ordered, i + 1).p != x.p, F.lit(True)))
+    last = let(F.array_sort(pairs), lambda o: F.filter(o, lambda x, i: F.coalesce(F.get(o, i + 1).p != x.p, F.lit(True))))
     return F.array_join(F.transform(last, lambda x: x.w), " ")

@@ -38,7 +38,7 @@ def section_inversions(body: Column) -> Column:
     row: no window over documents."""
     lines = F.regexp_extract_all(body, F.lit(r"(?m)^(?:#+ +)?([0-9]{1,2}\.[0-9]{1,2})\s+[A-Za-z]"), 1)
     nums = F.transform(lines, lambda s: F.struct(F.substring_index(s, ".", 1).cast("int").alias("a"), F.substring_index(s, ".", -1).cast("int").alias("b")))
-    return F.size(F.filter(nums, lambda x, i: (i > 0) & (x < F.get(nums, i - 1))))
+    return tx.let(nums, lambda v: F.size(F.filter(v, lambda x, i: (i > 0) & (x < F.get(v, i - 1)))))
 
 
 def quality(body: Column) -> Column:
@@ -69,11 +69,8 @@ def quotes_checked(quotes: DataFrame, texts: DataFrame, key: str) -> DataFrame:
 
 
 def inverted(docs: DataFrame, key: str, body: str) -> DataFrame:
-    """(key, index MAP<word, positions>) of the words of a text, and back with
-    ``text.restore_inverted``. Built in the row, from one sorted pass."""
-    words = F.filter(F.split(tx.squeeze(F.col(body)), " "), lambda w: w != "")
-    pairs = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    kinds = F.array_distinct(F.transform(pairs, lambda p: p.w))
-    return docs.where(F.col(body).isNotNull()).select(key, words.alias("_w"), kinds.alias("_k"), pairs.alias("_p")).select(
-        key, F.map_from_arrays("_k", F.transform("_k", lambda k: F.transform(F.filter("_p", lambda p: p.w == k), lambda p: p.i))).alias("index")
-    )
+    """(key, index MAP<word, positions>) of the words of a text, back with
+    ``text.restore_inverted``. One row per word on the way, so long texts cost linear time."""
+    words = docs.where(F.col(body).isNotNull()).select(key, F.posexplode(F.split(tx.squeeze(F.col(body)), " ")).alias("i", "w"))
+    per = words.groupBy(key, "w").agg(F.array_sort(F.collect_list("i")).alias("at"))
+    return per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("w", "at"))).alias("index"))

@@ -73,8 +73,8 @@ def q_swept_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 with {_X}, c as (select record_id, exposure_no, {scalar('timing.pulse_duration_ms')} as pd, {scalar('timing.pulse_repetition_frequency_hz')} as prf, {scalar('timing.duty_cycle_pct')} as dc, {st('timing.pulse_duration_ms')} as st, x from x)
-select record_id, exposure_no, round(pd * prf / 10, 3) as duty_computed, case when dc > 0 then abs(round(pd * prf / 10, 3) - dc) / dc > 0.05 end as duty_mismatch,
-  case when st = 'not_reported' then round(dc * 10 / nullif(prf, 0), 4) end as duration_implied,
+select record_id, exposure_no, (floor(pd * prf / 10 * 1000.0 + 0.5) / 1000.0) as duty_computed, case when dc > 0 then abs((floor(pd * prf / 10 * 1000.0 + 0.5) / 1000.0) - dc) / dc > 0.05 end as duty_mismatch,
+  case when st = 'not_reported' then floor(dc * 10 / nullif(prf, 0) * 10000.0 + 0.5) / 10000.0 end as duration_implied,
   array_to_string(list_filter([case when len(list_filter({nums('fundamental_frequency_khz')}, lambda v: v not between 20 and 20000)) > 0 then 'f0_out_of_range' end,
     case when pd > 1000 / nullif(prf, 0) * 1.0001 then 'pd_exceeds_period' end,
     {', '.join(f"case when {scalar(f'{b}.pressure_kpa')} > 0 and {scalar(f'{b}.isppa_w_cm2')} is not null and not coalesce(pow({scalar(f'{b}.pressure_kpa')} * 1e3, 2) / 3e6 / 1e4 / nullif({scalar(f'{b}.isppa_w_cm2')}, 0) between 0.5 and 2, false) then 'intensity_pressure_inconsistent_{b}' end" for b in facts.DOMAINS)}], lambda v: v is not null), ',') as flags
