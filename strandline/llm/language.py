@@ -179,7 +179,7 @@ class Models:
                 seen = total > 0
                 gamma[seen, i] = d * kinds[seen] / total[seen]
                 p[np.searchsorted(keys, g), i] = (c - d) / total[own]
-            lower = np.full((len(keys), n), 1e-6) if k == 1 else below[np.searchsorted(self.keys[-1], suf)]
+            lower = np.full((len(keys), n), 1 / (len(keys) + 1)) if k == 1 else below[np.searchsorted(self.keys[-1], suf)]
             p += gamma[np.searchsorted(ctx, pre)] * lower
             below = np.maximum(p, 1e-9)
             self.keys.append(keys)
@@ -190,6 +190,7 @@ class Models:
         own = [np.bincount(_script(_codes(texts)[0]), minlength=4)[:3] for texts in by_language]
         share = np.array([c / max(c.sum(), 1) for c in own])  # languages x scripts
         self.unseen = np.vstack([np.where(share.T > 0.2, UNSEEN[1], UNSEEN[0]), np.full(n, UNSEEN[0])]).astype(np.float32)
+        self.absent = np.array([not texts for texts in by_language])
         self.limit = np.full(n, np.inf)
         self.alpha = 10.0
 
@@ -227,7 +228,9 @@ class Models:
             open_ = open_[~hit]
         score[open_] += self.unseen[_script(codes[open_])]
         lengths = np.bincount(doc, minlength=len(texts))
-        return -np.add.reduceat(score, first, axis=0) / lengths[:, None]
+        out = -np.add.reduceat(score, first, axis=0) / lengths[:, None]
+        out[:, self.absent] = 1e3  # never chosen
+        return out
 
     def decide(self, texts: list[str]) -> list[tuple[int, float]]:
         """(language number or -1, confidence) of each text."""
@@ -292,7 +295,9 @@ def _by_frequency(texts: list[str], labels: np.ndarray, k: int = 4) -> np.ndarra
     at = doc[k - 1 :][ok]
     n = len(LANGUAGES)
     counts = np.bincount(gram * n + labels[at], minlength=len(keys) * n).reshape(-1, n)
-    logp = np.log((counts + 0.01) / np.maximum(counts.sum(0), 1))
+    total = counts.sum(0)
+    logp = np.log((counts + 0.01) / np.maximum(total, 1))
+    logp[:, total == 0] = -1e3  # a language without a text is none's
     score = np.zeros((len(texts), n))
     np.add.at(score, at, logp[gram])
     return score.argmax(1)
