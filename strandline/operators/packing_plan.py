@@ -45,10 +45,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
             full, rest = divmod(n, per)
             if full:
                 out.append((size, rank, rank + full * per, opened, per))
-                runs.append([opened, full, capacity - per * size])
+                runs.append([opened, full, max(0, capacity - per * size)])
             if rest:
                 out.append((size, rank + full * per, rank + n, opened + full, rest))
-                runs.append([opened + full, 1, capacity - rest * size])
+                runs.append([opened + full, 1, max(0, capacity - rest * size)])
             opened += full + (rest > 0)
     return out
 
