@@ -27,7 +27,7 @@ from strandline.session import cut
 #: Children of one parent per slot of the frontier join.
 SLOT = 50_000
 #: Levels joined in one job.
-STRIDE = 6
+STRIDE = 8
 
 
 def blank(c: Column) -> Column:
@@ -44,7 +44,7 @@ def _frontier(start: DataFrame, tree: DataFrame) -> tuple[DataFrame, int]:
     """``start(id, root_id, depth, path, slots)`` and all that hangs below it in
     ``tree(parent, slot, id, slots)``; and the number of nodes."""
     kids = tree.select(F.col("parent").alias("_p"), F.col("slot").alias("_s"), F.col("id").alias("_id"), F.col("slots").alias("_slots"))
-    levels, level, count = [], start, 0
+    levels, level, count, base = [], start, 0, 0
     while True:
         steps = [level]
         for _ in range(STRIDE):
@@ -56,19 +56,17 @@ def _frontier(start: DataFrame, tree: DataFrame) -> tuple[DataFrame, int]:
         for s in steps[1:]:
             done = done.unionByName(s)
         done = cut(done, 8)
-        levels.append(done)
-        reached, deepest = done.agg(F.count(F.lit(1)), F.max("depth")).first()
-        count += reached
-        # The last level was not extended yet, so it starts the next stride and is counted once.
-        base = done.agg(F.min("depth")).first()[0]
-        if deepest is None or deepest < base + STRIDE:
+        base += STRIDE
+        edge = (F.col("depth") == base) & (F.col("slots") > 0)
+        reached, going = done.agg(F.count(F.lit(1)), F.count_if(edge)).first()
+        if not going:
+            levels.append(done)
+            count += reached
             break
-        level = done.where(F.col("depth") == deepest)
-        edge = level.where("slots > 0")
-        if edge.isEmpty():
-            break
-        levels[-1] = done.where(F.col("depth") < deepest)
-        count -= level.count()
+        # Nodes of the last level that have children start the next stride, and are counted there.
+        levels.append(done.where(~edge))
+        count += reached - going
+        level = done.where(edge)
     out = levels[0]
     for x in levels[1:]:
         out = out.unionByName(x)
