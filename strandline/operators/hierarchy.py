@@ -1,16 +1,17 @@
 """Parent-child rows to full hierarchies: path, root, depth, descendants, cycles (problem 5).
 
-Level by level, a frontier of finished nodes is joined with the children of its nodes;
-each round extends path and depth by one. Roots are the nodes without a parent and the
-nodes whose parent does not exist. Nodes that no frontier reaches lie on a cycle or below
-one. Their cycles are found by pointer doubling (each join squares the step, so n nodes
-take log2 n joins): what a walk of at least n steps can still reach is a cycle. The cycle
-nodes, at depth 0, are then the roots of a second frontier walk over the rest.
-
-A parent with very many children is no hot key: its children are spread over slots of
-``SLOT`` rows, and the frontier row of that parent, and of no other, is repeated per slot.
-Rounds are written to the shared folder, so the lineage stays short and a lost executor
-costs no recomputation of earlier levels.
+Level by level, a frontier of finished nodes is joined with what hangs below it and extends
+path and depth. Every node first learns its ancestors up to ``REACH`` steps away (by doubling:
+log2 joins, one row per node and step), so that one frontier join finishes ``REACH`` levels.
+Roots are the nodes without a parent and the nodes whose parent does not exist. Nodes that no
+frontier reaches lie on a cycle or below one. Their cycles are found by doubling the step on
+until it is as long as there are such nodes: where a walk of that length can still end is a
+cycle. The cycle nodes, at depth 0, are then the roots of a second frontier walk.
+
+In every join one side has one row, or one row per step, per key, and the other side's rows
+for a hot key (a parent of a third of all nodes) can be split freely; adaptive execution does
+so when a partition is out of proportion. Rounds are written to the shared folder, so plans
+stay short and a lost executor costs no recomputation of earlier levels.
 
 Results for odd input: null ids are dropped; rows repeated exactly count once; an id with
 several parents keeps the smallest non-blank one; blank parents count as none; a node that
@@ -24,10 +25,8 @@ from pyspark.sql import functions as F
 
 from strandline.session import cut
 
-#: Children of one parent per slot of the frontier join.
-SLOT = 50_000
-#: Levels joined in one job.
-STRIDE = 8
+#: Levels that one frontier join finishes; a power of two.
+REACH = 16
 
 
 def blank(c: Column) -> Column:
@@ -40,32 +39,40 @@ def edges(df: DataFrame, node: str = "id", parent: str = "parent") -> DataFrame:
     return df.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("id")).agg(F.min(p).alias("parent"))
 
 
-def _frontier(start: DataFrame, tree: DataFrame) -> tuple[DataFrame, int]:
-    """``start(id, root_id, depth, path, slots)`` and all that hangs below it in
-    ``tree(parent, slot, id, slots)``; and the number of nodes."""
-    kids = tree.select(F.col("parent").alias("_p"), F.col("slot").alias("_s"), F.col("id").alias("_id"), F.col("slots").alias("_slots"))
-    levels, level, count, base = [], start, 0, 0
-    while True:
-        steps = [level]
-        for _ in range(STRIDE):
-            wide = steps[-1].where("slots > 0").withColumn("_slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-            nxt = wide.join(kids, (F.col("id") == F.col("_p")) & (F.col("_slot") == F.col("_s")))
-            path = [F.concat("path", F.array("_id")).alias("path")] if "path" in start.columns else []
-            steps.append(nxt.select(F.col("_id").alias("id"), "root_id", (F.col("depth") + 1).alias("depth"), F.col("_slots").alias("slots"), "state", *path))
-        done = steps[0]
-        for s in steps[1:]:
-            done = done.unionByName(s)
-        done = cut(done, 8)
-        base += STRIDE
-        edge = (F.col("depth") == base) & (F.col("slots") > 0)
-        reached, going = done.agg(F.count(F.lit(1)), F.count_if(edge)).first()
-        if not going:
-            levels.append(done)
-            count += reached
+def _ancestors(tree: DataFrame, paths: bool) -> DataFrame:
+    """(x, a, d, going[, via]) of ``tree(id, parent, going)``: a is the ancestor of x d steps up,
+    for d up to ``REACH``; via are the nodes from below a down to x."""
+    via = [F.array("id").alias("via")] if paths else []
+    got = cut(tree.select(F.col("id").alias("x"), F.col("parent").alias("a"), F.lit(1).alias("d"), "going", *via))
+    span = 1
+    while span < REACH:
+        low = got.where(F.col("d") == span)
+        if low.isEmpty():
             break
-        # Nodes of the last level that have children start the next stride, and are counted there.
-        levels.append(done.where(~edge))
-        count += reached - going
+        up = got.select(F.col("x").alias("a"), F.col("a").alias("_a"), F.col("d").alias("_d"), *([F.col("via").alias("_via")] if paths else []))
+        more = low.join(up, "a").select("x", F.col("_a").alias("a"), (F.col("d") + F.col("_d")).alias("d"), "going", *([F.concat("_via", "via").alias("via")] if paths else []))
+        got = cut(got.unionByName(more))
+        span *= 2
+    return got
+
+
+def _frontier(start: DataFrame, tree: DataFrame) -> tuple[DataFrame, int]:
+    """``start(id, root_id, depth = 0, going, state[, path])`` and all that hangs below it in
+    ``tree(id, parent, going)``; and the number of nodes."""
+    paths = "path" in start.columns
+    start = cut(start)
+    count, going = start.agg(F.count(F.lit(1)), F.count_if("going")).first()
+    levels, level, base = [start], start.where("going"), 0
+    if going:
+        below = _ancestors(tree, paths)
+    while going:
+        step = level.select(F.col("id").alias("a"), "root_id", "depth", "state", *(["path"] if paths else [])).join(below, "a")
+        done = cut(step.select(F.col("x").alias("id"), "root_id", (F.col("depth") + F.col("d")).alias("depth"), "going", "state", *([F.concat("path", "via").alias("path")] if paths else [])))
+        base += REACH
+        edge = (F.col("depth") == base) & F.col("going")
+        n, going = done.agg(F.count(F.lit(1)), F.count_if(edge)).first()
+        levels.append(done)
+        count += n
         level = done.where(edge)
     out = levels[0]
     for x in levels[1:]:
@@ -81,16 +88,14 @@ def resolve(df: DataFrame, node: str = "id", parent: str = "parent", paths: bool
     """
     e = cut(edges(df, node, parent))
     known = e.select(F.col("id").alias("parent"), F.lit(True).alias("known"))
-    born = e.where("parent is not null").groupBy("parent").agg(F.count(F.lit(1)).alias("kids"))
-    slots = born.select("parent", F.ceil(F.col("kids") / SLOT).cast("int").alias("slots"))
-    own = slots.select(F.col("parent").alias("id"), F.col("slots"))
-    tree = e.join(known, "parent", "left").join(slots.withColumnRenamed("slots", "_n"), "parent", "left").join(own, "id", "left")
-    tree = cut(tree.select("id", "parent", F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("slots", F.lit(0)).alias("slots"), F.pmod(F.xxhash64("id"), F.coalesce("_n", F.lit(1))).cast("int").alias("slot")))
+    born = e.where("parent is not null").select(F.col("parent").alias("id"), F.lit(True).alias("going")).distinct()
+    tree = e.join(known, "parent", "left").join(born, "id", "left")
+    tree = cut(tree.select("id", "parent", F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("going", F.lit(False)).alias("going")))
     total = tree.count()
     state = F.when(F.col("parent").isNull(), "ok").otherwise("broken")
     trail = [F.array("id").alias("path")] if paths else []
-    start = tree.where("not known").select("id", F.col("id").alias("root_id"), F.lit(0).alias("depth"), "slots", state.alias("state"), *trail)
-    kids = tree.where("known")
+    start = tree.where("not known").select("id", F.col("id").alias("root_id"), F.lit(0).alias("depth"), "going", state.alias("state"), *trail)
+    kids = tree.where("known").select("id", "parent", "going")
     got, reached = _frontier(start, kids)
     if reached < total:
         lost = cut(tree.join(got.select("id"), "id", "left_anti"))
@@ -103,8 +108,8 @@ def resolve(df: DataFrame, node: str = "id", parent: str = "parent", paths: bool
             span *= 2
         ring = hop.select(F.col("to").alias("id")).distinct()
         ring = hop.join(ring, "id", "left_semi").select("id", F.col("least").alias("root_id"))
-        ring = cut(lost.join(ring, "id").select("id", "root_id", F.lit(0).alias("depth"), "slots", F.lit("cycle").alias("state"), *trail))
-        off = lost.join(ring.select("id"), "id", "left_anti").select("id", "parent", "slot", "slots")
+        ring = cut(lost.join(ring, "id").select("id", "root_id", F.lit(0).alias("depth"), "going", F.lit("cycle").alias("state"), *trail))
+        off = lost.join(ring.select("id"), "id", "left_anti").select("id", "parent", "going")
         below, _ = _frontier(ring, off)
         below = below.withColumn("state", F.when(F.col("depth") == 0, "cycle").otherwise("under_cycle"))
         got = got.unionByName(below)

@@ -122,7 +122,7 @@ def walk(edges):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_hierarchy(spark, seed, monkeypatch):
-    monkeypatch.setattr(hierarchy, "SLOT", 3)
+    monkeypatch.setattr(hierarchy, "REACH", 4 * seed)
     rnd = random.Random(seed)
     n = 60
     edges = {f"n{i}": rnd.choice([None, *[f"n{rnd.randint(0, n - 1)}"] * 6, f"n{max(0, i - 1)}", "gone"]) for i in range(n)}
