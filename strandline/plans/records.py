@@ -26,13 +26,13 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_exposures(spark: SparkSession, d: str) -> DataFrame:
-    """The exposures table: record, number, label, interval."""
-    return nested.exposures(all_nodes(spark, d))
+    """The exposures table: record, number, label (intervals: see p1_values)."""
+    return nested.exposures(all_nodes(spark, d)).select("record_id", "exposure_no", "label")
 
 
 def p1_terms(spark: SparkSession, d: str) -> DataFrame:
-    """The target terms table: record, exposure, number, term, interval."""
-    return nested.target_terms(all_nodes(spark, d))
+    """The target terms table: record, exposure, number, term."""
+    return nested.target_terms(all_nodes(spark, d)).select("record_id", "exposure_no", "term_no", "term")
 
 
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
@@ -159,7 +159,29 @@ with recursive e as (
 """
 ORACLES = {
     "p1_found": _P1_FOUND,
-    "p1_exposures": None,
+    "p1_exposures": _EXPOSURES + """select record_id, exposure_no, x.label as label from x
+    union all select record_id, exposure_no, case when json_type(x, '$.label') = 'VARCHAR' then x ->> '$.label' end from y""",
+    "p1_terms": _EXPOSURES + """select record_id, exposure_no, cast(i as int) as term_no, x.target.terms[i + 1] as term from (select *, unnest(range(len(x.target.terms))) as i from x)
+    union all select record_id, exposure_no, cast(i as int), x ->> ('$.target.terms[' || i || ']') from (select *, unnest(range(cast(json_array_length(x, '$.target.terms') as bigint))) as i from y where json_type(x, '$.target.terms') = 'ARRAY')
+    where json_type(x, '$.target.terms[' || i || ']') = 'VARCHAR'
+    union all select record_id, exposure_no, 0, x ->> '$.target.terms' from y where json_type(x, '$.target.terms') = 'VARCHAR'""",
+    "p3_profile": _PROFILE + """, o as (
+      select load_id, lag(load_id) over (order by load_id) as prev from (select distinct load_id from cells)
+    ), ev as (
+      select field, o.load_id, value, 1 as cur, 0 as ref from v join o using (load_id)
+      union all select field, o.load_id, value, 0, 1 from v join o on o.prev = v.load_id
+    ), cum as (
+      select field, load_id, sum(cur) over w as c, sum(ref) over w as r, sum(cur) over (partition by field, load_id) as ct, sum(ref) over (partition by field, load_id) as rt
+      from ev window w as (partition by field, load_id order by value range between unbounded preceding and current row)
+    ), ks as (
+      select field, load_id, max(abs(c / ct - r / rt)) as ks from cum where ct > 0 and rt > 0 group by all
+    )
+    select load_id, field, n_cells, round(n_missing / n_cells, 9) as missing_share, round(n_odd / nullif(n_measures, 0), 9) as odd_state_share, coalesce(n_values, 0) as n_values,
+      coalesce(n_distinct, 0) as n_distinct, min_value, max_value, round(q25, 9) as q25, round(median, 9) as median, round(q75, 9) as q75, round(n_invalid / nullif(n_values, 0), 9) as invalid_share, round(ks, 9) as ks
+    from g left join ks using (load_id, field)""",
+    "p5_descendants": _WALK + "select cur as ancestor, up.id as descendant, n as distance from up join found on found.id = up.id where n between 1 and depth",
+    "p5_paths": _WALK + """, pairs as (select cur as ancestor, up.id as id, n from up join found on found.id = up.id where n between 0 and depth)
+    select id, root_id, depth, state, (select string_agg(ancestor, ' > ' order by n desc) from pairs where pairs.id = found.id) as path, (select count(*) from pairs where pairs.ancestor = found.id and n > 0) as n_descendants from found""",
     "p3_found": _PROFILE
     + """select cast(load_id as int) as load_id, field, issue from (
       select load_id, field, unnest([
@@ -174,4 +196,3 @@ ORACLES = {
     union all
     select distinct t, '', -1, 'unlisted' from (select unnest(x.target.terms) as t from (select unnest(exposures) as x from papers)) where t is not null and t not in (select id from e)""",
 }
-ORACLES = {k: v for k, v in ORACLES.items() if v}
