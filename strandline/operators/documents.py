@@ -71,6 +71,6 @@ def quotes_checked(quotes: DataFrame, texts: DataFrame, key: str) -> DataFrame:
 def inverted(docs: DataFrame, key: str, body: str) -> DataFrame:
     """(key, index MAP<word, positions>) of the words of a text, back with
     ``text.restore_inverted``. One row per word on the way, so long texts cost linear time."""
-    words = docs.where(F.col(body).isNotNull()).select(key, F.posexplode(F.split(tx.squeeze(F.col(body)), " ")).alias("i", "w"))
-    per = words.groupBy(key, "w").agg(F.array_sort(F.collect_list("i")).alias("at"))
-    return per.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("w", "at"))).alias("index"))
+    words = docs.where(F.col(body).isNotNull()).select(F.col(key).alias("_key"), F.posexplode(F.split(tx.squeeze(F.col(body)), " ")).alias("_i", "_w"))
+    per = words.groupBy("_key", "_w").agg(F.array_sort(F.collect_list("_i")).alias("_at"))
+    return per.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_w", "_at"))).alias("index")).withColumnRenamed("_key", key)

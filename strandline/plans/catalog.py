@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.plans import curation, exposures, records, texts
+from strandline.plans import curation, exposures, identities, records, texts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES, **curation.query.queries, **exposures.query.queries, **texts.query.queries}
-ORACLES: dict[str, str] = {**records.ORACLES, **curation.query.oracles, **exposures.query.oracles, **texts.query.oracles}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**records.QUERIES, **curation.query.queries, **exposures.query.queries, **texts.query.queries, **identities.query.queries}
+ORACLES: dict[str, str] = {**records.ORACLES, **curation.query.oracles, **exposures.query.oracles, **texts.query.oracles, **identities.query.oracles}
 FLAGSHIP = "q_cascade_counts"
