@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 from strandline.functions.text import fold_dashes
 
+# Patterns of keys in running text, of words that follow them, of parts of a work.
+KEY_IN_TEXT = r"\b(10\.[0-9]{4,9}/[-._;()/:a-zA-Z0-9]+)"
+PAGE_WORDS = r"(received|accepted|published|available|downloaded|http).*$"
+REVIEW_PART = r"^(10\.[0-9]{4,9}/\S+?)(?:\.v?[0-9]+)?\.sa[0-9]+$"
+VIDEO_PART = r"^(10\.3791/[0-9]+)-v$"
 # Beginnings of keys that stand for a journal, not a document.
 BLOCKED = ("10.1016/j.brs.0000",)
+# Fixed value: characters of the shortest key.
 SHORTEST = 12
 
 
@@ -21,7 +27,7 @@ def clean_key(c: Column) -> Column:
     d = fold_dashes(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")))
     d = F.regexp_replace(d, r"""[).,;:'"\]}>]+$""", "")
     d = F.regexp_replace(d, r"(?U)\s+", "")
-    d = F.regexp_replace(d, r"(received|accepted|published|available|downloaded|http).*$", "")
+    d = F.regexp_replace(d, PAGE_WORDS, "")
     d = F.regexp_replace(d, r"\.$", "")
     blocked = F.lit(False)
     for b in BLOCKED:
@@ -37,13 +43,13 @@ def bare_key(c: Column) -> Column:
 
 def find_keys(text: Column) -> Column:
     """All keys in a text, cleaned, distinct, in order of first occurrence."""
-    raw = F.regexp_extract_all(fold_dashes(text), F.lit(r"\b(10\.[0-9]{4,9}/[-._;()/:a-zA-Z0-9]+)"), 1)
+    raw = F.regexp_extract_all(fold_dashes(text), F.lit(KEY_IN_TEXT), 1)
     return F.array_distinct(F.array_compact(F.transform(raw, clean_key)))
 
 
 def parent_key(c: Column) -> Column:
     """Key of the work of which a registered part is given; null if it is no part."""
-    a, b = F.regexp_extract(c, r"^(10\.[0-9]{4,9}/\S+?)(?:\.v?[0-9]+)?\.sa[0-9]+$", 1), F.regexp_extract(c, r"^(10\.3791/[0-9]+)-v$", 1)
+    a, b = F.regexp_extract(c, REVIEW_PART, 1), F.regexp_extract(c, VIDEO_PART, 1)
     return F.coalesce(F.nullif(a, F.lit("")), F.nullif(b, F.lit("")))
 
 

@@ -25,6 +25,12 @@ STOP_WORDS = (
     "a", "an", "and", "as", "at", "by", "for", "from", "in", "into", "of", "on",
     "or", "the", "to", "with", "is", "are", "its", "via", "using", "based",
 )
+# Patterns of tags, formula commands, ellipses, titles of replies, typesetting stamps.
+WELL_FORMED_TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>\n]{0,120})?/?>"
+FORMULA_COMMAND = r"\\(mathrm|mathbf|text|textit|mathit|operatorname|mu|pm|times|cdot|circ|sim|approx|le|ge|leq|geq|,|;|!| )"
+ELLIPSIS = r"\[\s*(?:\.\.\.|…)\s*\]|\.\.\.|…"
+REPLY = r"(?i)^\s*(?:(?:response|reply|comment(?:ary)?|correction|corrigendum|erratum|letter|author\s+response)\b[\s:,-]*(?:to|on|re|regarding|concerning)?\b|re(?=\s*[:.]))"
+STAMP = r"(?i)^\s*(untitled|none|unknown|microsoft word.*|using [a-z]+ format|doi:.*|.*\.(pdf|indd|tex|dvi|qxd)|[a-z]{0,6}[._-]?\d{4,}.*|\d[\d\s.]*|.*\b\d+\.\.\d+)\s*$"
 # The entities that are decoded natively, in this order; &amp; last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
@@ -123,8 +129,8 @@ def clean_abstract(c: Column, limit: int | None = None) -> Column:
 def letters_only(c: Column) -> Column:
     """Lower-case a-z and 0-9 of a text without tags and formula commands: the form in which
     quotations are looked for."""
-    got = F.regexp_replace(c, r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>\n]{0,120})?/?>", " ")
-    got = F.regexp_replace(got, r"\\(mathrm|mathbf|text|textit|mathit|operatorname|mu|pm|times|cdot|circ|sim|approx|le|ge|leq|geq|,|;|!| )", " ")
+    got = F.regexp_replace(c, WELL_FORMED_TAG, " ")
+    got = F.regexp_replace(got, FORMULA_COMMAND, " ")
     return F.regexp_replace(F.lower(got), "[^a-z0-9]", "")
 
 
@@ -135,7 +141,7 @@ def quote_found(quote: Column, text_key: Column, piece: int = 8, least: int = 12
     piece of ``least`` or more must occur as a whole or in two of its three thirds. False for
     a null quotation, null for a null text.
     """
-    parts = F.filter(F.transform(F.split(quote, r"\[\s*(?:\.\.\.|…)\s*\]|\.\.\.|…"), letters_only), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(quote, ELLIPSIS), letters_only), lambda p: p != "")
     one = F.get(parts, F.lit(0))
     n = F.floor(F.length(one) / 3).cast("int")
     thirds = (F.substr(one, F.lit(1), n), F.substr(one, n + 1, n), F.substr(one, 2 * n + 1, F.length(one)))
@@ -153,7 +159,7 @@ def is_all_caps(c: Column, letters: int = 25, share: float = 0.9) -> Column:
 
 def is_reply(c: Column) -> Column:
     """Titles that quote another work: "Response to: ...", "Re: ...", "Comment on ..."."""
-    return F.coalesce(c.rlike(r"(?i)^\s*(?:(?:response|reply|comment(?:ary)?|correction|corrigendum|erratum|letter|author\s+response)\b[\s:,-]*(?:to|on|re|regarding|concerning)?\b|re(?=\s*[:.]))"), F.lit(False))
+    return F.coalesce(c.rlike(REPLY), F.lit(False))
 
 
 @F.pandas_udf(DoubleType())
@@ -176,7 +182,7 @@ def title_agreement(a: Column, b: Column, ratio: Column | None = None) -> Column
 def usable_embedded_title(c: Column) -> Column:
     """The title, or null if it is a stamp of the typesetting."""
     t = F.trim(c)
-    junk = t.rlike(r"(?i)^\s*(untitled|none|unknown|microsoft word.*|using [a-z]+ format|doi:.*|.*\.(pdf|indd|tex|dvi|qxd)|[a-z]{0,6}[._-]?\d{4,}.*|\d[\d\s.]*|.*\b\d+\.\.\d+)\s*$")
+    junk = t.rlike(STAMP)
     return F.when((F.length(t) >= 12) & ~junk & (F.regexp_count(t, F.lit("[A-Za-z]{2,}")) >= 3), t)
 
 
