@@ -48,11 +48,11 @@ def q_version_links(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def q_key_repair(spark: SparkSession, d: str) -> DataFrame:
-    """Ledger keys that no entry has, repaired to the one entry key that nearly equals them; keys
-    are compared within the same final digits."""
+    """Ledger keys that no entry has, repaired to the one entry key without a ledger row that
+    nearly equals them."""
     wrong = table(spark, d, "ledger").select(F.lower(F.trim("doi")).alias("key")).where("key is not null")
     known = table(spark, d, "manifest").select(keys.bare_key(F.col("doi")).alias("key")).where("key is not null")
-    return identity.repaired(wrong, known, "key", F.regexp_extract("key", r"([0-9]{5,})\D*$", 1))
+    return identity.repaired(wrong, known, "key")
 
 
 @query("select coalesce(source, '-') as source, count(*) as n, count(*) filter (length(trim(text)) > 80) as n_text, round(count(*) filter (length(trim(text)) > 80) / count(*), 6) as share, count(*) filter (text is null and source_id is not null) as n_hollow from abstracts group by 1")

@@ -1,3 +1,6 @@
+import difflib
+import random
+
 from pyspark.sql import functions as F
 
 from strandline.operators import documents, identity
@@ -27,6 +30,30 @@ def test_key_repair(spark):
     assert [(r.k, r.repaired) for r in got.collect()] == [("10.99/abcdefghijklmnoq-123456", "10.99/abcdefghijklmnop-123456")]
 
 
+def test_key_repair_compares_all(spark):
+    # Edits in the final digits, a short digit run, a rival in the final digits, a judged key.
+    wrong = ["10.1186/s13089-2016-0044-x", "10.99/abcdefghijklmnop-123457", "10.98/abcdefghijklmnop-123456", "10.97/abcdefghijklmnop-12345", "10.97/abcdefghijklmnop-123455", ""]
+    known = ["10.1186/s13089-016-0044-x", "10.99/abcdefghijklmnop-123456", "10.98/abcdefghijklmnop-123455", "10.98/abcdefghijklmnoq-123456", "10.97/abcdefghijklmnop-123455", "10.97/abcdefghijklmnop-123345", "ab"]
+    frame = lambda ks: spark.createDataFrame([(k,) for k in ks], "k string")
+    got = {r.k: r.repaired for r in identity.repaired(frame(wrong), frame(known), "k").collect()}
+    assert got == {"10.1186/s13089-2016-0044-x": "10.1186/s13089-016-0044-x", "10.99/abcdefghijklmnop-123457": "10.99/abcdefghijklmnop-123456", "10.97/abcdefghijklmnop-12345": "10.97/abcdefghijklmnop-123345"}
+
+
+def test_key_repair_by_brute_force(spark):
+    rng = random.Random(3)
+    known = sorted({"".join(rng.choice("ab0") for _ in range(rng.choice((3, 9, 12, 20, 27, 33, 41, 60, 110)))) for _ in range(60)})
+    wrong = []
+    for k in known * 4:
+        for _ in range(rng.randint(1, max(1, len(k) // 9))):
+            at = rng.randrange(len(k) + 1)
+            k = k[:at] + rng.choice(("", "x", "b")) + k[at + rng.randint(0, 1) :]
+        wrong.append(k)
+    near = lambda w: [k for k in set(known) - set(wrong) if difflib.SequenceMatcher(None, k, w).ratio() >= 0.95]
+    want = {w: near(w)[0] for w in set(wrong) - set(known) if len(near(w)) == 1}
+    frame = lambda ks: spark.createDataFrame([(k,) for k in ks], "k string")
+    assert len(want) > 50 and {r.k: r.repaired for r in identity.repaired(frame(wrong), frame(known), "k").collect()} == want
+
+
 def test_links_flags_and_seeds(spark):
     p = spark.createDataFrame([("a",), ("b",), (None,)], "key string")
     e = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "a"), (None, "b"), ("a", "b")], "src string, dst string")
