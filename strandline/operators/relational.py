@@ -227,33 +227,67 @@ def first_fit_decreasing(sizes: Sequence[int], capacity: int) -> list[int]:
     return out
 
 
+# Fixed value: letters of the longest suffix, enough for eight billion keys of one base.
+SUFFIX_LETTERS = 7
+
+
+def suffix_of(i: str) -> Column:
+    """The i-th of a to z, aa, ab, ...; null beyond ``SUFFIX_LETTERS`` letters."""
+    step = "if(s.i > 0, struct((s.i - 1) div 26 as i, concat(char(97 + (s.i - 1) % 26), s.t) as t), s)"
+    got = f"aggregate(sequence(1, {SUFFIX_LETTERS}), struct(cast({i} as bigint) as i, '' as t), (s, k) -> {step})"
+    return F.expr(f"case when {got}.i = 0 then {got}.t end")
+
+
+def suffix_gaps(words: Column) -> Column:
+    """Numbers (lo, hi) of the suffixes that begin with one of the words, ascending, none twice."""
+    outer = F.filter(words, lambda w: (F.length(w) <= SUFFIX_LETTERS) & ~F.exists(words, lambda v: (v != w) & F.startswith(w, v)))
+    number = lambda w: F.aggregate(F.filter(F.split(w, ""), lambda c: c != ""), F.lit(0).cast("bigint"), lambda s, c: s * 26 + F.ascii(c) - 96)
+    more = lambda w, c: F.transform(F.sequence(F.lit(0), SUFFIX_LETTERS - F.length(w)), lambda k: F.concat(w, F.repeat(F.lit(c), k)))
+    gaps = F.transform(outer, lambda w: F.zip_with(more(w, "a"), more(w, "z"), lambda a, z: F.struct(number(a).alias("lo"), number(z).alias("hi"))))
+    return F.array_sort(F.flatten(gaps))
+
+
 def assign_keys(papers: DataFrame, released: DataFrame, working: DataFrame, doi: str = "doi") -> DataFrame:
     """(doi, base, key, kept): stable surrogate keys, set-based.
 
     Released keys never move and are never reissued; working keys are kept where they belong
     to the base; a newcomer takes the bare base if it is alone and the base is free, else the
-    n-th free letter, n being its rank by doi in the group. A null key means that the letters
-    ran out. ``papers(doi, base)``, ``released(doi, key)``, ``working(doi, key)``.
+    n-th free suffix of a to z, aa, ab and so on, n being its rank by doi in the group. A key that
+    begins with a longer base belongs to that one, so groups do not meet; it is an error if
+    longer bases take all suffixes. ``papers(doi, base)``, ``released(doi, key)``,
+    ``working(doi, key)``.
     """
     p = papers.select(F.col(doi).alias("doi"), "base").distinct()
     bases = p.select(F.col("base").alias("key")).distinct()
-    suffixed = lambda k, b: F.expr(f"length({k}) = length({b}) + 1 and startswith({k}, {b}) and substring({k}, -1, 1) between 'a' and 'z'")
+    suffixed = lambda k, b: F.expr(f"startswith({k}, {b}) and substring({k}, length({b}) + 1) rlike '^[a-z]+$'")
     rel = p.join(released.select(F.col(doi).alias("doi"), "key"), "doi").where((F.col("key") == F.col("base")) | suffixed("key", "base")).select("doi", "base", "key", F.lit(0).alias("cls"))
     wrk = p.join(working.select(F.col(doi).alias("doi"), "key"), "doi")
     bare = wrk.where("key = base").select("doi", "base", "key", F.lit(1).alias("cls"))
-    tail = wrk.where(suffixed("key", "base")).join(bases, "key", "left_anti").select("doi", "base", "key", F.lit(2).alias("cls"))
+    tail = wrk.where(suffixed("key", "base")).select("doi", "base", "key")
+    starts = tail.select("doi", F.col("key").alias("_k"), F.explode(F.expr("transform(sequence(length(base) + 1, length(key)), n -> substring(key, 1, n))")).alias("key"))
+    foreign = starts.join(bases, "key", "left_semi").select("doi", F.col("_k").alias("key")).distinct()
+    tail = tail.join(foreign, ["doi", "key"], "left_anti").withColumn("cls", F.lit(2))
     reserved = released.select("key").distinct()
     cands = rel.unionByName(bare.join(reserved, "key", "left_anti")).unionByName(tail.join(reserved, "key", "left_anti"))
     won = cands.groupBy("key").agg(F.min(F.struct("cls", "doi", "base")).alias("w")).select("key", "w.*")
-    kept = won.groupBy("doi", "base").agg(F.min(F.struct("cls", "key")).alias("w")).select("doi", "base", F.col("w.key").alias("key"))
+    kept = won.groupBy("doi", "base").agg(F.min(F.struct("cls", F.length("key").alias("len"), "key")).alias("w")).select("doi", "base", F.col("w.key").alias("key"))
     taken = reserved.unionByName(kept.select("key")).distinct()
     sizes = p.groupBy("base").agg(F.count(F.lit(1)).alias("size"))
     fresh = p.join(kept.select("doi"), "doi", "left_anti").join(sizes, "base")
     free_base = fresh.where("size = 1").join(taken.select(F.col("key").alias("base")), "base", "left_anti").select("doi", "base", F.col("base").alias("key"))
     rest = fresh.join(free_base.select("doi"), "doi", "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("doi")))
-    letters = rest.select("base").distinct().withColumn("key", F.explode(F.transform(F.sequence(F.lit(97), F.lit(122)), lambda i: F.concat("base", F.char(i)))))
-    letters = letters.join(taken, "key", "left_anti").join(bases, "key", "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("key")))
-    new = rest.join(letters, ["base", "n"], "left").select("doi", "base", "key")
+    # Candidates: as many suffixes as newcomers and taken keys, past those that longer bases take.
+    wanted = rest.groupBy("base").agg(F.count(F.lit(1)).alias("n"))
+    starts = lambda df: df.select("key", F.explode(F.expr("transform(sequence(1, length(key) - 1), n -> substring(key, 1, n))")).alias("base")).where(suffixed("key", "base"))
+    used = starts(taken).groupBy("base").agg(F.count(F.lit(1)).alias("used"))
+    longer = starts(bases).select("base", F.substring("key", F.length("base") + 1, F.length("key")).alias("w")).groupBy("base").agg(F.collect_set("w").alias("w"))
+    each = wanted.join(used, "base", "left").join(longer, "base", "left").withColumn("past", suffix_gaps(F.coalesce("w", F.array().cast("array<string>"))))
+    each = each.withColumn("last", F.col("n") + F.coalesce("used", F.lit(0))).withColumn("from", F.explode(F.expr("sequence(1L, last, 1000L)")))
+    each = each.select("base", "past", F.explode(F.expr("sequence(from, least(from + 999, last))")).alias("i"))
+    each = each.withColumn("i", F.aggregate("past", F.col("i"), lambda i, g: F.when(g["lo"] <= i, i + g["hi"] - g["lo"] + 1).otherwise(i)))
+    letters = each.select("base", "i", F.concat("base", suffix_of("i")).alias("key")).join(taken, "key", "left_anti")
+    letters = letters.withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("i"))).drop("i")
+    new = rest.join(letters, ["base", "n"], "left").select("doi", "base", F.coalesce("key", F.raise_error(F.concat(F.lit("no free suffix left for "), "base", F.lit(" "), "doi")).cast("string")).alias("key"))
     return kept.withColumn("kept", F.lit(True)).unionByName(free_base.unionByName(new).withColumn("kept", F.lit(False)))
 
 

@@ -241,7 +241,8 @@ letters as (select base, key, row_number() over (partition by base order by key)
 select doi, base, key, true as kept from kept union all select doi, base, key, false from alone union all select rest.doi, rest.base, letters.key, false from rest left join letters on letters.base = rest.base and letters.n = rest.n
 """.replace("BARE", _BARE))
 def q_citekeys(spark: SparkSession, d: str) -> DataFrame:
-    """Stable keys for every document: released ones stay, newcomers get letters."""
+    """Stable keys for every document: released ones stay, newcomers get letters (a to z, then
+    aa, ab and so on; the SQL ends with z)."""
     m = table(spark, d, "manifest").withColumn("k", keys.bare_key(F.col("doi"))).where("k is not null")
     base = text.citekey_base(F.col("year"), F.get("authors.family", F.lit(0)))
     papers = m.groupBy(F.col("k").alias("doi")).agg(F.min(base).alias("base"))

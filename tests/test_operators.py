@@ -1,6 +1,7 @@
 import json
 import os
 import random
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,6 +186,21 @@ def test_assign_keys(spark, papers, released, working, want):
     assert want.items() <= got.items() and len(set(got.values())) == len(got)
 
 
+def test_assign_keys_beyond_z(spark):
+    frame = lambda rows, cols: spark.createDataFrame(rows, cols)
+    # 2024li: a is taken, u and its suffixes belong to 2024liu; 27th and 28th letters follow z.
+    papers = [(f"d{i:03}", "2024li") for i in range(60)] + [("e1", "2024liu"), ("e2", "2024liu"), ("f", "2024li"), ("g", "2024li")]
+    run = lambda rel_, wrk: {r.doi: r.key for r in rel.assign_keys(frame(papers, "doi string, base string"), frame(rel_, "doi string, key string"), frame(wrk, "doi string, key string")).collect()}
+    got = run([("x", "2024lia"), ("f", "2024liac")], [("g", "2024liua")])
+    letters = [c for c in string.ascii_lowercase if c != "u"]
+    free = [s for s in letters + [a + b for a in letters for b in string.ascii_lowercase] if s not in ("a", "ac")]
+    assert [got[f"d{i:03}"] for i in range(60)] == ["2024li" + s for s in free[:60]]
+    assert got["f"] == "2024liac" and got["g"] == "2024li" + free[60] and {got["e1"], got["e2"]} == {"2024liua", "2024liub"} and len(set(got.values())) == len(papers)
+    assert run([("x", "2024lia"), ("f", "2024liac")], list(got.items())) == got
+    with pytest.raises(Exception, match="no free suffix"):
+        rel.assign_keys(frame([("x1", "b"), ("x2", "b")] + [(c, "b" + c) for c in string.ascii_lowercase], "doi string, base string"), frame([], "doi string, key string"), frame([], "doi string, key string")).collect()
+
+
 def test_snapshot_diff(spark):
     old = spark.createDataFrame([("a", "d1", 1), ("b", "d2", 1), ("c", "d3", None), ("e", "d5", 1)], "k string, doi string, v int")
     new = spark.createDataFrame([("a2", "d1", 1), ("b", "d2", 2), ("c", "d3", None), ("f", "d6", 1)], "k string, doi string, v int")
