@@ -15,7 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.session import cut
+from strandline.functions import text as tx
+from strandline.session import cut, shuffle_partitions
 
 
 def set_join(df: DataFrame, key: str, tokens: Column, t: float) -> tuple[DataFrame, DataFrame]:
@@ -41,6 +42,37 @@ def set_join(df: DataFrame, key: str, tokens: Column, t: float) -> tuple[DataFra
     return joined, both.select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= t - 1e-9)
 
 
+def letter_counts(c: str) -> Column:
+    """How often each of a to z and 0 to 9 occurs."""
+    return F.array(*[F.length(c) - F.length(F.replace(F.col(c), F.lit(x))) for x in "abcdefghijklmnopqrstuvwxyz0123456789"])
+
+
+def author_pairs(df: DataFrame, key: str, author: str, title: str, year: str, span: int = 3, least: float = 0.85, share: int = 200) -> DataFrame:
+    """(a, b, rows_a, rows_b, ratio): titles of one author, years within ``span``, of sequence
+    ratio ``least`` or more.
+
+    Rows of equal author, year and title are one class, named by its smallest key, with its
+    number of rows; a class of several rows is also paired with itself. ``title`` holds a to z
+    and 0 to 9 only; null years count as 0. Rows without an author or title pair with nothing.
+    The titles of one author and year are compared in shares of about ``share``; common letters
+    bound the ratio natively.
+    """
+    rows = df.select(key, F.col(author).alias("w"), F.coalesce(year, F.lit(0)).alias("y"), F.col(title).alias("t")).where("w <> '' and t <> ''")
+    c = cut(rows.groupBy("w", "y", "t").agg(F.min(key).alias("id"), F.count(F.lit(1)).alias("rows")).withColumn("l", letter_counts("t")))
+    shares = c.groupBy("w", "y").agg(F.ceil(F.count(F.lit(1)) / share).cast("int").alias("m"))
+    many = shuffle_partitions(df.sparkSession)  # stated, as few bytes make many pairs here
+    y = c.join(shares, ["w", "y"]).withColumn("n", F.pmod(F.xxhash64("t"), F.col("m")).cast("int")).drop("m").withColumnsRenamed({"id": "jd", "rows": "rows_j", "t": "u", "l": "k", "y": "z"})
+    x = c.withColumn("z", F.explode(F.sequence(F.col("y"), F.col("y") + span))).join(shares.withColumnRenamed("y", "z"), ["w", "z"]).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("m") - 1))).drop("m")
+    common = F.aggregate(F.zip_with("l", "k", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
+    on = ["w", "z", "n"]
+    near = x.repartition(many, *on).join(y.repartition(many, *on), on).where("y < z or id < jd or (id = jd and rows > 1)")
+    near = near.where(2 * F.least(F.length("t"), F.length("u")) >= least * (F.length("t") + F.length("u")) - 1e-9).where(2 * common >= least * (F.length("t") + F.length("u")) - 1e-9)
+    flip = F.col("id") > F.col("jd")
+    pick = lambda p, q: F.when(flip, F.col(q)).otherwise(F.col(p))
+    near = near.select(pick("id", "jd").alias("a"), pick("jd", "id").alias("b"), pick("rows", "rows_j").alias("rows_a"), pick("rows_j", "rows").alias("rows_b"), pick("t", "u").alias("t"), pick("u", "t").alias("u"))
+    return near.repartition(many, "a", "b").withColumn("ratio", tx.similarity_ratio(F.col("t"), F.col("u"))).where(F.col("ratio") >= least).drop("t", "u")
+
+
 def link_counts(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
     """(key, class_id, n_links): one row per member with its class and the class's links."""
     n = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count(F.lit(1)).alias("n_links"))

@@ -239,14 +239,16 @@ def q_title_links(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def q_ratio_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Agreement of the titles of similar classes: native branches, sequence ratio for the rest."""
-    _, links = _titles(spark, d)
-    m = table(spark, d, "manifest").select("entry_id", "title", "record_class")
-    a = m.select(F.col("entry_id").alias("a"), F.col("title").alias("ta"), F.col("record_class").alias("ca"))
-    b = m.select(F.col("entry_id").alias("b"), F.col("title").alias("tb"), F.col("record_class").alias("cb"))
-    got = cut(links.join(a, "a").join(b, "b"))
-    r = text.similarity_ratio(text.title_key(F.col("ta")), text.title_key(F.col("tb")))
-    return got.withColumn("r", r).select("a", "b", F.round(text.title_agreement(F.col("ta"), F.col("tb"), F.col("r")), 6).alias("agreement"))
+    """Titles of the same first author within three years whose sequence ratio is 0.85 or more,
+    and their agreement; errata, conference abstracts and letters, which share their parent's
+    title, and entries without a key are left out, as in the reference."""
+    parts = F.coalesce(F.col("record_class").isin("erratum", "conference_abstract", "letter_commentary"), F.lit(False))
+    m = table(spark, d, "manifest").where("doi <> ''").where(~parts)
+    m = m.select("entry_id", "title", "year", F.lower(F.get("authors.family", F.lit(0))).alias("author"), text.title_key(F.col("title")).alias("key"))
+    got = cut(similarity.author_pairs(m, "entry_id", "author", "key", "year"))
+    a, b = m.select(F.col("entry_id").alias("a"), F.col("title").alias("ta")), m.select(F.col("entry_id").alias("b"), F.col("title").alias("tb"))
+    agreement = text.title_agreement(F.col("ta"), F.col("tb"), F.col("ratio"))
+    return got.join(a, "a").join(b, "b").select("a", "b", "rows_a", "rows_b", F.round("ratio", 6).alias("ratio"), F.round(agreement, 6).alias("agreement"))
 
 
 @query("""

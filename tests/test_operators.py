@@ -201,6 +201,15 @@ def test_assign_keys_beyond_z(spark):
         rel.assign_keys(frame([("x1", "b"), ("x2", "b")] + [(c, "b" + c) for c in string.ascii_lowercase], "doi string, base string"), frame([], "doi string, key string"), frame([], "doi string, key string")).collect()
 
 
+def test_author_pairs(spark):
+    rows = [(1, "x", "stimulationofthevagusnerveinrats", 2020), (2, "x", "stimulationofthevaggusnerveinrats", 2023), (3, "x", "stimulationofthevagusnerveinrats", 2020), (4, "x", "stimulationofthevagusnerveinrats", 2024)]
+    rows += [(5, "y", "stimulationofthevagusnerveinrats", 2020), (6, "x", "anotherthingaltogether", 2020), (7, "x", None, 2020), (8, None, "stimulationofthevagusnerveinrats", 2020), (9, "y", "stimulationofthevagusnerveinmice", 2019), (10, "z", "onetitle", None), (11, "z", "onetitle", None)]
+    df = spark.createDataFrame(rows, "i int, w string, t string, y int")
+    for share in (1, 200):
+        got = {(r.a, r.b): (r.rows_a, r.rows_b) for r in similarity.author_pairs(df, "i", "w", "t", "y", share=share).collect()}
+        assert got == {(1, 1): (2, 2), (1, 2): (2, 1), (2, 4): (1, 1), (5, 9): (1, 1), (10, 10): (2, 2)}
+
+
 def test_snapshot_diff(spark):
     old = spark.createDataFrame([("a", "d1", 1), ("b", "d2", 1), ("c", "d3", None), ("e", "d5", 1)], "k string, doi string, v int")
     new = spark.createDataFrame([("a2", "d1", 1), ("b", "d2", 2), ("c", "d3", None), ("f", "d6", 1)], "k string, doi string, v int")
