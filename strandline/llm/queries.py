@@ -13,7 +13,7 @@ from strandline.session import cut, table
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of entries of one group of near-duplicates."""
-    return similar.group_pairs(similar.groups(table(spark, d, "manifest"), table(spark, d, "abstracts")))
+    return similar.group_pairs(similar.grouped(similar.entry_links(table(spark, d, "manifest"), table(spark, d, "abstracts"))))
 
 
 def p2_groups(spark: SparkSession, d: str) -> DataFrame:

@@ -183,11 +183,12 @@ def corpus(seed, n):
     return out + out[: n // 10] + [f"a b {'c ' * k}" for k in (1, 17, 30, 60)] + ["a b c"]
 
 
-@pytest.mark.parametrize("rare, groups", [(2, 3), (5, 8), (300, 20)])
-def test_set_links_match_brute_force(spark, rare, groups):
+@pytest.mark.parametrize("rare, chance, groups", [(2, 1, (3,)), (5, 4, (8,)), (300, 9, (20,)), (1, 2, (2, 1)), (1, 10, (1, 2, 1)), (64, 1000, (20, 2))])
+def test_set_links_match_brute_force(spark, monkeypatch, rare, chance, groups):
+    monkeypatch.setattr(sg, "MOST", 100)
     texts = corpus(11, 120)
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*texts, None, ""])], "i long, text string, extra string")
-    members, links = similar.similar_texts(df, "i", rare=rare, groups=groups)
+    members, links = similar.similar_texts(df, "i", rare=rare, chance=chance, groups=groups)
     digest = {r.i: r.digest for r in members.collect()}
     sets = {}
     for i, t in enumerate(texts):
