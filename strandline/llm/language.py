@@ -7,13 +7,16 @@ contexts with their back-off weights. A position is looked up from the longest o
 each miss adds the back-off weight of its context, so most positions need one binary search.
 
 A text is cut into sentences; each goes to the language of lowest cross-entropy per
-character. It is rejected ("und") if that entropy is above the language's limit, set on
-held-out sentences, or if the piece is no sentence: too few words or letters (headings,
-tables, formulae, single phrases). The confidence is the posterior over the languages with
-a temperature fitted on the held-out sentences.
-
-Training uses the labelled rows themselves: a bounded sample (``SAMPLE_ROWS`` rows per
-language, none above ``SAMPLE_CHARS`` characters, drawn by hash of text). Labels may be
+character. It is rejected ("und") if that entropy is above the language's limit, or if the
+piece is no sentence: too few words or letters (headings, tables, formulae, single phrases).
+The limit lies between what held-out sentences of the language score and what sentences of
+the other languages score under it when their own model is left out, which stand for
+languages without a model. The confidence is the posterior over the languages; its
+temperature is fitted on the labels of all held-out sentences, wrong ones included.
+
+Training uses the labelled rows themselves: a bounded sample (``SAMPLE_ROWS`` distinct texts per
+language, drawn by hash of text, of each at most ``SAMPLE_CHARS`` characters from a place that
+the hash gives), so copies of a text, however many, are one row. Labels may be
 wrong, so sentences are re-labelled by the models and the models refitted ``ROUNDS`` times.
 Everything else - scoring, decisions - covers every row and whole texts.
 
@@ -26,7 +29,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +43,9 @@ ORDER = 5
 SAMPLE_ROWS = 250
 SAMPLE_CHARS = 20_000
 ROUNDS = 2
-#: Quantile of held-out entropy, and the slack in bits above it, from which a sentence is rejected.
-REJECT_QUANTILE, REJECT_SLACK = 0.995, 1.5
+#: The limit of rejection: so far from this quantile of the language's own held-out entropies
+#: to the low quantile of the other languages' entropies.
+OWN_QUANTILE, OTHER_QUANTILE, REJECT_SHARE = 0.995, 0.005, 0.7
 MIN_WORDS, MIN_LETTERS, MIN_HAN = 4, 16, 6
 #: Positions scored at once.
 CHUNK = 400_000
@@ -52,7 +55,7 @@ UNSEEN = (np.log(1e-7), np.log(1e-4))
 # ---- text -------------------------------------------------------------------------------
 
 _BROKEN = re.compile("[ÂÃÄÅÐÑØÙàáâãäåæçèéï][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]{1,3}")
-_TAG = re.compile(r"<[^<>]{1,200}>")
+_TAG = re.compile(r"<[^<>]{1,200}>|(?:https?://|www\.)\S+|\S+@\S+\.\w+")  # tags and addresses are no words
 _HYPHEN = re.compile(r"(?<=\w)[-­‐]\s*\r?\n\s*(?=\w)")
 _END = re.compile(r"(?<=[.!?])[\"'”’»)\]]*\s+|(?<=[。！？])|\s*\n\s*\n\s*|\n(?![a-zà-öø-ÿа-я])")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -74,23 +77,32 @@ def _unbreak(m: re.Match) -> str:
         return m[0]
 
 
-def sentences(text: str | None) -> list[tuple[int, str]]:
-    """(length in characters, letters) of every piece that may be a sentence."""
+def letters_of(piece: str) -> str | None:
+    """The letters of a piece in lower case, words apart; None if it can be no sentence."""
+    letters = _NOT_LETTER.sub(" ", piece.lower()).strip()
+    if not letters:
+        return None
+    words, han = letters.count(" ") + 1, len(_HAN.findall(letters))
+    solid = len(letters) - words + 1
+    if solid * 2 < len(piece) - piece.count(" ") and han < MIN_HAN:
+        return None  # mostly signs and digits
+    return letters if han >= MIN_HAN or (words >= MIN_WORDS and solid >= MIN_LETTERS and words * 20 > solid) else None
+
+
+def sentences(text: str | None, known: dict[str, str | None] | None = None) -> list[tuple[int, str]]:
+    """(length in characters, letters) of every piece that may be a sentence; ``known`` keeps the
+    letters of pieces that come again."""
     if not text or not text.strip():
         return []
+    known = {} if known is None else known
     t = _BROKEN.sub(_unbreak, text)
     t = _HYPHEN.sub("", _TAG.sub(" ", unicodedata.normalize("NFKC", t))).replace("­", "")
     out = []
     for piece in _END.split(t):
-        letters = _NOT_LETTER.sub(" ", piece.lower()).strip()
-        if not letters:
-            continue
-        words, han = letters.count(" ") + 1, len(_HAN.findall(letters))
-        solid = len(letters) - words + 1
-        if solid * 2 < len(piece) - piece.count(" ") and han < MIN_HAN:
-            continue  # mostly signs and digits
-        if han >= MIN_HAN or (words >= MIN_WORDS and solid >= MIN_LETTERS and words * 20 > solid):
-            out.append((len(piece), letters))
+        if piece not in known:
+            known[piece] = letters_of(piece)
+        if known[piece]:
+            out.append((len(piece), known[piece]))
     return out
 
 
@@ -233,15 +245,41 @@ class Models:
         return out
 
     def decide(self, texts: list[str]) -> list[tuple[int, float]]:
-        """(language number or -1, confidence) of each text."""
+        """(language number or -1, confidence) of each text; equal texts are scored once."""
         if not texts:
             return []
-        e = self.entropy(texts)
+        place: dict[str, int] = {}
+        at = [place.setdefault(t, len(place)) for t in texts]
+        e = self.entropy(list(place))
         best = e.argmin(1)
         z = np.exp(-self.alpha * (e - e.min(1, keepdims=True)))
-        conf = 1 / z.sum(1)
-        ok = e.min(1) <= self.limit[best]
-        return [(int(b) if o else -1, float(c)) for b, o, c in zip(best, ok, conf)]
+        conf = (1 / z.sum(1)).tolist()
+        lang = np.where(e.min(1) <= self.limit[best], best, -1).tolist()
+        return [(lang[i], conf[i]) for i in at]
+
+    def calibrate(self, e: np.ndarray, labels: list[np.ndarray]) -> None:
+        """Limits and temperature from the entropies of held-out sentences; ``labels`` has the
+        labels under which each of them occurs."""
+        y, low = e.argmin(1), e.min(1)
+        others = e.copy()
+        others[np.arange(len(e)), y] = np.inf
+        second = others.argmin(1)  # what each would be without its own model
+        for i in range(e.shape[1]):
+            own, other = low[y == i], others[second == i, i]
+            other = other[other < 1e3]
+            top = np.quantile(own if len(own) >= 5 else low, OWN_QUANTILE)  # with few of its own, of all
+            floor = np.quantile(other, OTHER_QUANTILE) if len(other) >= 5 else 4 * top
+            self.limit[i] = top + REJECT_SHARE * max(floor - top, 0)
+        row = np.repeat(np.arange(len(e)), [len(x) for x in labels])
+        lab = np.concatenate(labels) if labels else np.zeros(0, int)
+        wrong = np.clip((lab != y[row]).mean() if len(lab) else 0, 1e-3, 0.5)
+
+        def fit_of(a: float) -> float:
+            z = np.exp(-a * (e - low[:, None]))
+            p = z / z.sum(1, keepdims=True)
+            return float(np.log((1 - wrong) * p[row, lab] + wrong / e.shape[1]).mean())
+
+        self.alpha = max((0.5, 1.0, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0), key=fit_of)
 
 
 def fit(rows: list[tuple[str, int]], order: int = ORDER, rounds: int = ROUNDS) -> Models | None:
@@ -265,22 +303,11 @@ def fit(rows: list[tuple[str, int]], order: int = ORDER, rounds: int = ROUNDS) -
     texts = sorted(held)
     if texts:
         e = models.entropy(texts)
-        y = e.argmin(1)
-        low = e.min(1)
-        for i in range(len(LANGUAGES)):
-            if (y == i).sum() >= 5:
-                models.limit[i] = np.quantile(low[y == i], REJECT_QUANTILE) + REJECT_SLACK * np.log(2)
-        # Temperature: the labels agree with the models as often as the posterior says.
-        votes: dict[str, Counter] = {}
+        given: dict[str, list[int]] = {}
         for t, lab in known:
-            votes.setdefault(t, Counter())[lab] += 1
-        label = {t: v.most_common(1)[0][0] for t, v in votes.items()}
-        truth = np.array([label[s] for s in texts])
-        agree = truth == y
-        if agree.any():
-            gain = [(np.mean([-np.log(np.exp(-a * (e[agree] - e[agree].min(1, keepdims=True))).sum(1)).mean()]) - 0.002 * a, a) for a in (2, 4, 8, 16, 32)]
-            models.alpha = float(max(gain)[1])
-        final = Models(split(train + list(zip(texts, y.tolist()))), order)  # nothing held out any more
+            given.setdefault(t, []).append(lab)
+        models.calibrate(e, [np.array(given[t]) for t in texts])
+        final = Models(split(train + list(zip(texts, e.argmin(1).tolist()))), order)  # nothing held out any more
         final.limit, final.alpha = models.limit, models.alpha
         return final
     return models
@@ -320,10 +347,13 @@ def labelled(label: Column) -> Column:
 
 def train(docs: DataFrame, text: str = "text", label: str = "lang") -> Models | None:
     """Models from a bounded sample of the labelled rows."""
-    got = docs.select(F.col(text).alias("text"), labelled(F.col(label)).alias("y")).where(f"y is not null and text is not null and length(text) <= {SAMPLE_CHARS}")
-    pick = Window.partitionBy("y").orderBy(F.xxhash64("text"), "text")
-    rows = got.withColumn("n", F.row_number().over(pick)).where(F.col("n") <= SAMPLE_ROWS).select("text", "y").collect()  # at most 8 x SAMPLE_ROWS rows
-    return fit([(t, LANGUAGES.index(y)) for t, y in rows])
+    got = docs.select(F.col(text).alias("text"), labelled(F.col(label)).alias("y"), F.xxhash64(text).alias("h")).where("y is not null and text is not null")
+    pick = Window.partitionBy("y").orderBy("h")
+    few = got.select("y", "h").distinct().withColumn("n", F.row_number().over(pick)).where(F.col("n") <= SAMPLE_ROWS).drop("n")  # at most 8 x SAMPLE_ROWS rows
+    begin = F.expr(f"cast(1 + pmod(h, greatest(1, length(text) - {SAMPLE_CHARS} + 1)) as int)")
+    part = F.substr("text", begin, F.lit(SAMPLE_CHARS))
+    rows = got.join(F.broadcast(few), ["y", "h"]).groupBy("y", "h").agg(F.min(part).alias("text")).orderBy("y", "h").collect()
+    return fit([(r["text"], LANGUAGES.index(r["y"])) for r in rows])
 
 
 SEGMENT = "segment_no int, lang string, confidence double, n_sentences int, n_chars int"
@@ -343,8 +373,9 @@ def segments(docs: DataFrame, key: str = "doc_id", text: str = "text", models: M
         m = shared.value
         for f in frames:
             rows, pieces, owner = [], [], []
+            known: dict[str, str | None] = {}
             for i, t in enumerate(f["text"]):
-                for n, s in sentences(t):
+                for n, s in sentences(t, known):
                     pieces.append((n, s))
                     owner.append(i)
             found = m.decide([s for _, s in pieces]) if m else []

@@ -314,6 +314,36 @@ def test_languages(spark):
     assert language.segments(docs.withColumn("lang", F.lit("xx"))).count() == 0
 
 
+def test_many_copies_of_one_text_change_nothing(spark):
+    """A third of all rows are one text; an address is no sentence."""
+    rnd = random.Random(4)
+    data = [(i, " ".join(sentence(rnd, x) for _ in range(3)), x, "x") for i in range(300) for x in [rnd.choice(list(STOCK))]]
+    hot = [(1000 + i, sentence(rnd, "de") if i == 0 else None, "de", None) for i in range(150)]
+    hot = [(i, hot[0][1], lab, e) for i, _, lab, e in hot]
+    data += [(2000, f"https://example.org/papers/item?id=42&lang=the-sessions-lasted\n{data[0][1]}", data[0][2], None), (2001, "see www.example.org/the/sessions/lasted/and/were/separated or mail the.sessions.lasted@example.org", None, None)]
+    docs = spark.createDataFrame(data + hot, "doc_id long, text string, lang string, extra string")
+    segs = language.segments(docs)
+    assert language.unnamed(segs, docs).where("doc_id < 1000 or doc_id >= 2000").count() == 0
+    assert {r.lang for r in segs.where("doc_id between 1000 and 1999").collect()} == {"de"}
+
+
+def test_long_rows_train_too(spark):
+    rnd = random.Random(6)
+    data = [(i, " ".join(sentence(rnd, "fr") for _ in range(3)), "fr") for i in range(60)] + [(100 + i, " ".join(sentence(rnd, "ru") for _ in range(600)), "ru") for i in range(3)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    assert {r.lang for r in language.segments(docs).where("doc_id >= 100").collect()} == {"ru"}
+
+
+def test_calibration_rejects_what_is_far_from_all():
+    rnd = random.Random(7)
+    words = {x: [w for s in STOCK[x] for w in s.replace("{}", "").split()] for x in ("en", "de", "fr", "ru")}
+    mixed = lambda x: " ".join(rnd.choices(words[x], k=9)).capitalize() + "."
+    m = language.fit([(mixed(x), language.LANGUAGES.index(x)) for x in words for _ in range(200)])
+    told = m.decide([s for x in words for _, s in language.sentences(mixed(x))] + ["xkq vrtz plmw qqzr bnmt hjkl wrtp zzkw"])
+    assert [language.LANGUAGES[y] if y >= 0 else None for y, _ in told] == [*words, None]
+    assert all(0 < c <= 1 for _, c in told)
+
+
 def test_labels(spark):
     cases = {"en": "en", "EN": "en", "de-XA": "de", "pt_br": "pt", "eng": None, "xx": None, "": None, " en": None, None: None, "en-": None}
     df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", language.labelled(F.col("t")).alias("y"))
