@@ -38,10 +38,15 @@ def unpivot(papers: DataFrame, *keep: str) -> DataFrame:
 
 
 def reporting(papers: DataFrame) -> DataFrame:
-    """(leaf, applicable, not_reported, share): the two kinds of absence counted apart."""
+    """(leaf, applicable, not_reported, share): the two kinds of absence counted apart.
+
+    Applicable is every measure that is not "na"; share is the part of those that is reported,
+    null where nothing is applicable. The unspecified domain, which is never silent, is left out.
+    """
     s = ms.state(F.col("m"))
-    got = unpivot(papers).groupBy("leaf").agg(F.count_if(s.isin("value", "not_reported")).alias("applicable"), F.count_if(s == "not_reported").alias("not_reported"))
-    return got.withColumn("share", F.round(F.try_divide("not_reported", "applicable"), 3))
+    rows = unpivot(papers).where(~F.startswith("leaf", F.lit("unspecified_domain.")))
+    got = rows.groupBy("leaf").agg(F.count_if(s != "na").alias("applicable"), F.count_if(s == "not_reported").alias("not_reported"))
+    return got.withColumn("share", F.round(1 - F.try_divide("not_reported", "applicable"), 3))
 
 
 def any_domain(papers: DataFrame) -> DataFrame:

@@ -34,9 +34,9 @@ def papers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "papers")
 
 
-@query(f"with {_X}, u as ({_LEAVES}) select leaf, count(*) filter ({_S} in ('value', 'not_reported')) as applicable, count(*) filter ({_S} = 'not_reported') as not_reported, round(count(*) filter ({_S} = 'not_reported') / nullif(count(*) filter ({_S} in ('value', 'not_reported')), 0), 3) as share from u group by leaf")
+@query(f"with {_X}, u as ({_LEAVES}) select leaf, count(*) filter ({_S} <> 'na') as applicable, count(*) filter ({_S} = 'not_reported') as not_reported, round(1 - count(*) filter ({_S} = 'not_reported') / nullif(count(*) filter ({_S} <> 'na'), 0), 3) as share from u where leaf not like 'unspecified_domain.%' group by leaf")
 def q_reportability(spark: SparkSession, d: str) -> DataFrame:
-    """Share of not reported among applicable, per measure."""
+    """Share of reported among applicable, per measure."""
     return facts.reporting(papers(spark, d))
 
 
