@@ -2,21 +2,21 @@
 
 Every node of a record - the record, each exposure, block, measure, term and number -
 gets the pre-order and post-order number of a depth-first walk. A node contains another
-exactly if its pre number is smaller and its post number larger, so flat tables of single
-node types keep the whole hierarchy: a child's parent of type T is the nearest T before it
-in pre-order, if that T's interval contains it. One window over the walk therefore links
-all levels; no self-join of nodes and no pair of nodes is ever formed.
+exactly if its pre number is smaller and its post number larger. In pre-order all that a
+node contains stands right behind it, so its interval is a slice of the record's array of
+nodes: the flat tables are cut from that array level by level, each row with the pre number
+of its parent, before anything is exploded. Nothing is shuffled and no pair of nodes formed.
 
 Typed columns are walked by native expressions: each record becomes an array of nodes in
 pre-order (its index is the pre number) with depth and subtree size, from which
-``post = pre - depth + size - 1``. JSON payloads, whose shape is not fixed, are walked by
-an Arrow-batched function into the same array.
+``post = pre - depth + size - 1``. JSON payloads are walked by an Arrow-batched function
+along the same schema, so the same record has the same labels either way.
 
 Results for odd input: null or empty ``exposures`` give a record node only; null elements
 keep their number and have no children; null blocks and measures give no node; null
 elements of ``vals`` are skipped and not counted. A payload that is null, empty, broken or
-no JSON object gives a record node only. Repeated rows and repeated ids stay apart, since
-the walk is keyed by row. Extra columns are ignored.
+no JSON object gives a record node only; one nested too deep for the usual parser is read
+by a loop. Rows are independent, so repeated rows and ids stay apart. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
-from pyspark.sql.window import Window
 
 NODE = "struct<kind:string,name:string,ordinal:int,depth:int,size:int,num:double,text:string>"
 
@@ -91,19 +90,10 @@ def walk(value: Column, kind: DataType, name: str, depth: int) -> Column:
     return F.when(value.isNull(), _none()).otherwise(got)
 
 
-def _rows(df: DataFrame, key: str, nodes: Column) -> DataFrame:
-    """One row per node, with its interval."""
-    return (
-        df.select(F.col(key).alias("record_id"), F.monotonically_increasing_id().alias("row_no"), nodes.alias("nodes"))
-        .select("record_id", "row_no", F.posexplode("nodes").alias("pre", "n"))
-        .select("record_id", "row_no", "pre", (F.col("pre") - F.col("n.depth") + F.col("n.size") - 1).alias("post"), "n.kind", "n.name", "n.ordinal", "n.depth", "n.num", "n.text")
-    )
-
-
-def typed_nodes(df: DataFrame, key: str = "record_id", column: str = "exposures") -> DataFrame:
-    """Nodes of the nested ``column``, under one record node per row."""
+def typed_trees(df: DataFrame, key: str = "record_id", column: str = "exposures") -> DataFrame:
+    """(record_id, nodes): the nodes of the nested ``column`` under a record node, one row per row."""
     kids = walk(F.col(column), df.schema[column].dataType, column, 1)
-    return _rows(df, key, _with(lambda n: _node("record", F.lit("record"), F.lit(None), 0, n), kids))
+    return df.select(F.col(key).alias("record_id"), _with(lambda n: _node("record", F.lit("record"), F.lit(None), 0, n), kids).alias("nodes"))
 
 
 _NUMBER = re.compile(r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?", re.ASCII)
@@ -113,11 +103,68 @@ def _no_constant(text: str):
     raise ValueError(text)  # NaN and Infinity are no JSON
 
 
+def _int(digits: str) -> int | float:
+    return int(digits) if len(digits) < 400 else float(digits)
+
+
+_TOKEN = re.compile(r'[ \t\r\n]*([{}\[\],:]|"(?:[^"\\\x00-\x1f]|\\.)*"|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)', re.ASCII)
+
+
+def _parse_deep(text: str) -> object:
+    """JSON by a loop over tokens, whatever the depth; ValueError if it is none."""
+    root: list = []
+    stack: list = [root]  # open lists and dicts
+    keys: list = [None]
+    want, at, end = "value", 0, len(text.rstrip(" \t\r\n"))
+    while at < end:
+        m = _TOKEN.match(text, at)
+        if not m or stack[-1] is root and root:
+            raise ValueError(at)
+        tok, at, top = m[1], m.end(), stack[-1]
+        if tok in ",:":
+            if tok != want and not (tok == "," and want == "next"):
+                raise ValueError(at)
+            want = "value" if tok == ":" or isinstance(top, list) else "key"
+            continue
+        if tok in "]}":
+            if want not in ("next", "first value" if tok == "]" else "first key") or isinstance(top, list) != (tok == "]"):
+                raise ValueError(at)
+            stack.pop()
+            keys.pop()
+            want = "next"
+            continue
+        if want.endswith("key"):
+            if tok[0] != '"':
+                raise ValueError(at)
+            keys[-1], want = json.loads(tok), ":"
+            continue
+        if not want.endswith("value"):
+            raise ValueError(at)
+        new = [] if tok == "[" else {} if tok == "{" else json.loads(tok, parse_int=_int)
+        if isinstance(top, list):
+            top.append(new)
+        else:
+            top[keys[-1]] = new
+        want = "next"
+        if tok in "[{":
+            stack.append(new)
+            keys.append(None)
+            want = "first value" if tok == "[" else "first key"
+    if len(stack) > 1 or not root:
+        raise ValueError(at)
+    return root[0]
+
+
 def parse(text: object) -> object:
     """The JSON value of ``text``; None if it is not valid JSON."""
     try:
-        return json.loads(text, parse_constant=_no_constant)
-    except (ValueError, TypeError, RecursionError):
+        return json.loads(text, parse_constant=_no_constant, parse_int=_int)
+    except RecursionError:
+        try:
+            return _parse_deep(text)
+        except ValueError:
+            return None
+    except (ValueError, TypeError):
         return None
 
 
@@ -146,91 +193,107 @@ def _numbers(v: object) -> list[float]:
     return out
 
 
-def payload_nodes(payload: object) -> list[tuple]:
-    """Nodes (kind, name, ordinal, depth, size, num, text) of one payload, in pre-order."""
-
-    def measure(name: str, v: object, depth: int) -> list[tuple]:
-        nums = _numbers(v)
-        state = "value" if nums else "not_reported" if isinstance(v, str) else "na"
-        return [("measure", name, None, depth, 1 + len(nums), None, state), *(("value", None, i, depth + 1, 1, x, None) for i, x in enumerate(nums))]
+def payload_nodes(payload: object, kind: ArrayType, name: str = "exposures") -> list[tuple]:
+    """Nodes (kind, name, ordinal, depth, size, num, text) of one payload, in pre-order: those that
+    ``walk`` gives for its ``name`` column of type ``kind``."""
+
+    def node(what: str, label: str | None, ordinal: int | None, depth: int, kids: list, text: object = None, num: float | None = None) -> list[tuple]:
+        return [(what, label, ordinal, depth, 1 + len(kids), num, text if isinstance(text, str) else None), *kids]
+
+    def visit(v: object, t: DataType, label: str, depth: int) -> list[tuple]:
+        if v is None:
+            return []
+        if is_measure(t):
+            nums = _numbers(v)
+            state = "value" if nums else "not_reported" if isinstance(v, str) else "na"
+            return node("measure", label, None, depth, [n for i, x in enumerate(nums) for n in node("value", None, i, depth + 1, [], num=x)], state)
+        if isinstance(t, StructType):
+            return node("block", label, None, depth, fields(v, t, depth + 1)) if isinstance(v, dict) else []
+        if isinstance(t, ArrayType) and isinstance(t.elementType, StructType):
+            if not isinstance(v, list):
+                return []
+            return [n for i, x in enumerate(v) for n in node("item", label, i, depth, fields(x, t.elementType, depth + 1) if isinstance(x, dict) else [], x.get("label") if isinstance(x, dict) else None)]
+        if isinstance(t, ArrayType):
+            return [n for i, x in enumerate(v if isinstance(v, list) else [v]) if isinstance(x, str) for n in node("leaf", label, i, depth, [], x)]
+        return []
+
+    def fields(v: dict, t: StructType, depth: int) -> list[tuple]:
+        return [n for f in t.fields if isinstance(f.dataType, (StructType, ArrayType)) for n in visit(v.get(f.name), f.dataType, f.name, depth)]
 
     record = parse(payload)
     if isinstance(record, dict) and isinstance(record.get("record"), dict):
         record = record["record"]
-    items = record.get("exposures") if isinstance(record, dict) else None
+    items = record.get(name) if isinstance(record, dict) else None
     if isinstance(items, str):
         items = parse(items)
     if isinstance(items, dict):
         items = [items]
-    kids: list[tuple] = []
-    for i, x in enumerate(items if isinstance(items, list) else []):
-        own: list[tuple] = []
-        if isinstance(x, dict):
-            target = x.get("target")
-            if isinstance(target, dict):
-                terms = target.get("terms")
-                terms = [t for t in (terms if isinstance(terms, list) else [terms])]
-                leaves = [("leaf", "terms", k, 3, 1, None, t) for k, t in enumerate(terms) if isinstance(t, str)]
-                own += [("block", "target", None, 2, 1 + len(leaves), None, None), *leaves]
-            for block, names in BLOCKS.items():
-                if block == "exposure":
-                    for n in names:
-                        if n in x:
-                            own += measure(n, x[n], 2)
-                elif isinstance(x.get(block), dict):
-                    inner = [m for n in names if n in x[block] for m in measure(n, x[block][n], 3)]
-                    own += [("block", block, None, 2, 1 + len(inner), None, None), *inner]
-        label = x.get("label") if isinstance(x, dict) else None
-        kids += [("item", "exposures", i, 1, 1 + len(own), None, label if isinstance(label, str) else None), *own]
-    return [("record", "record", None, 0, 1 + len(kids), None, None), *kids]
-
-
-def json_nodes(df: DataFrame, key: str = "record_id", payload: str = "payload") -> DataFrame:
-    """As ``typed_nodes``, for records that are JSON texts."""
+    return node("record", "record", None, 0, visit(items, kind, name, 1))
+
+
+def json_trees(df: DataFrame, kind: ArrayType, key: str = "record_id", payload: str = "payload", name: str = "exposures") -> DataFrame:
+    """As ``typed_trees``, for records that are JSON texts whose ``name`` has the type ``kind``."""
     fields = ("kind", "name", "ordinal", "depth", "size", "num", "text")
 
     @F.pandas_udf(f"array<{NODE}>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield pd.Series([[dict(zip(fields, n)) for n in payload_nodes(p)] for p in s], dtype=object)
+            yield pd.Series([[dict(zip(fields, n)) for n in payload_nodes(p, kind, name)] for p in s], dtype=object)
+
+    return df.select(F.col(key).alias("record_id"), run(F.col(payload)).alias("nodes"))
+
+
+def node_rows(trees: DataFrame) -> DataFrame:
+    """(record_id, pre, post, kind, name, ordinal, depth, num, text): one row per node."""
+    return trees.select("record_id", F.posexplode("nodes").alias("pre", "n")).select("record_id", "pre", (F.col("pre") - F.col("n.depth") + F.col("n.size") - 1).alias("post"), "n.kind", "n.name", "n.ordinal", "n.depth", "n.num", "n.text")
+
+
+def inside(nodes: Column, kind: str, base: Column | int = 0, contents: bool = True) -> Column:
+    """The nodes of a kind in a slice of a walk that begins at pre number ``base``, in order: STRUCT
+    <pre, post, name, ordinal, num, text, below>; below is the slice of what the node contains."""
+
+    def pick(n: Column, i: Column) -> Column:
+        pre = i + base
+        below = [F.slice(nodes, i + 2, n.size - 1).alias("below")] if contents else []
+        return F.when(n.kind == kind, F.struct(pre.alias("pre"), (pre - n.depth + n.size - 1).alias("post"), n["name"].alias("name"), n.ordinal.alias("ordinal"), n.num.alias("num"), n.text.alias("text"), *below))
 
-    return _rows(df, key, run(F.col(payload)))
+    return F.array_compact(F.transform(nodes, pick))
 
 
-def link(nodes: DataFrame) -> DataFrame:
-    """Every node with the exposure, block and measure that contain it."""
-    walkway = Window.partitionBy("record_id", "row_no").orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
+def holder(nodes: Column, x: Column) -> Column:
+    """The innermost of the nodes whose interval contains that of ``x``; null for none."""
+    return F.try_element_at(F.filter(nodes, lambda h: (h.pre < x.pre) & (h.post > x.post)), F.lit(-1))
 
-    def holder(kind: str, but: Column | None = None) -> Column:
-        at = F.col("kind") == kind
-        return F.last(F.when(at if but is None else at & but, F.struct("pre", "post", "name", "ordinal")), ignorenulls=True).over(walkway)
 
-    inside = lambda c: F.when((F.col(c)["pre"] < F.col("pre")) & (F.col(c)["post"] > F.col("post")), F.col(c))
-    got = nodes.withColumns({"_item": holder("item"), "_block": holder("block"), "_measure": holder("measure")})
-    return got.withColumns({c: inside(c) for c in ("_item", "_block", "_measure")})
+def _items(trees: DataFrame) -> DataFrame:
+    """(record_id, item): one row per element of ``exposures``, with its slice of the walk."""
+    return trees.select("record_id", F.explode(inside(F.col("nodes"), "item")).alias("item")).where("item.name = 'exposures'")
 
 
-def single_values(nodes: DataFrame) -> DataFrame:
+def single_values(trees: DataFrame) -> DataFrame:
     """The table of single numbers, each with the key of its parents."""
     names = [F.struct(F.lit(b).alias("block"), F.lit(m).alias("field")) for b, ms in BLOCKS.items() for m in ms]
-    got = link(nodes).where("kind = 'value' and _item is not null and _measure is not null")
-    return got.select(
-        "record_id", F.col("_item.ordinal").alias("exposure_no"), F.coalesce("_block.name", F.lit("exposure")).alias("block"), F.col("_measure.name").alias("field"),
-        F.col("ordinal").alias("value_no"), F.col("num").alias("value"), "pre", "post", F.col("_measure.pre").alias("parent_pre"),
-    ).where(F.struct("block", "field").isin(*names))
+    at = F.col("item.pre") + 1
+    parts = _items(trees).select("record_id", F.col("item.ordinal").alias("exposure_no"), at.alias("at"), inside(F.col("item.below"), "block", at, False).alias("blocks"), F.explode(inside(F.col("item.below"), "measure", at)).alias("m"))
+    block = F.coalesce(holder(F.col("blocks"), F.col("m"))["name"], F.lit("exposure"))
+    got = parts.select("record_id", "exposure_no", block.alias("block"), F.col("m.name").alias("field"), F.col("m.pre").alias("parent_pre"), F.col("m.below").alias("below")).where(F.struct("block", "field").isin(*names))
+    got = got.select("record_id", "exposure_no", "block", "field", "parent_pre", F.explode(inside(F.col("below"), "value", F.col("parent_pre") + 1, False)).alias("v"))
+    return got.select("record_id", "exposure_no", "block", "field", F.col("v.ordinal").alias("value_no"), F.col("v.num").alias("value"), "v.pre", "v.post", "parent_pre")
 
 
-def exposures(nodes: DataFrame) -> DataFrame:
+def exposures(trees: DataFrame) -> DataFrame:
     """The table of exposures; the parent is the record node, pre 0."""
-    return nodes.where("kind = 'item' and name = 'exposures'").select("record_id", F.col("ordinal").alias("exposure_no"), F.col("text").alias("label"), "pre", "post", F.lit(0).alias("parent_pre"))
+    return _items(trees).select("record_id", F.col("item.ordinal").alias("exposure_no"), F.col("item.text").alias("label"), "item.pre", "item.post", F.lit(0).alias("parent_pre"))
 
 
-def target_terms(nodes: DataFrame) -> DataFrame:
+def target_terms(trees: DataFrame) -> DataFrame:
     """The table of target terms, each with its exposure."""
-    got = link(nodes).where("kind = 'leaf' and name = 'terms' and _item is not null")
-    return got.select("record_id", F.col("_item.ordinal").alias("exposure_no"), F.col("ordinal").alias("term_no"), F.col("text").alias("term"), "pre", "post", F.col("_block.pre").alias("parent_pre"))
+    at = F.col("item.pre") + 1
+    got = _items(trees).select("record_id", F.col("item.ordinal").alias("exposure_no"), inside(F.col("item.below"), "block", at, False).alias("blocks"), F.explode(inside(F.col("item.below"), "leaf", at, False)).alias("t")).where("t.name = 'terms'")
+    return got.select("record_id", "exposure_no", F.col("t.ordinal").alias("term_no"), F.col("t.text").alias("term"), "t.pre", "t.post", holder(F.col("blocks"), F.col("t")).pre.alias("parent_pre"))
 
 
-def records(nodes: DataFrame) -> DataFrame:
+def records(trees: DataFrame) -> DataFrame:
     """The table of records: one row per row of input, with the size of its tree."""
-    return nodes.where("kind = 'record'").select("record_id", "pre", "post", (F.col("post") + 1).alias("n_nodes"))
+    n = F.size("nodes")
+    return trees.select("record_id", F.lit(0).alias("pre"), (n - 1).alias("post"), n.alias("n_nodes"))

@@ -9,35 +9,36 @@ from strandline.operators import hierarchy, nested, profile
 from strandline.session import table
 
 
-def all_nodes(spark: SparkSession, d: str) -> DataFrame:
-    typed = nested.typed_nodes(table(spark, d, "papers").select("record_id", "exposures"))
-    raw = nested.json_nodes(table(spark, d, "raw_papers").select("record_id", "payload"))
-    return typed.withColumn("row_no", F.concat(F.lit("t"), "row_no")).unionByName(raw.withColumn("row_no", F.concat(F.lit("j"), "row_no")))
+def trees(spark: SparkSession, d: str) -> DataFrame:
+    """The walks of all records, typed ones and payloads."""
+    papers = table(spark, d, "papers").select("record_id", "exposures")
+    raw = nested.json_trees(table(spark, d, "raw_papers").select("record_id", "payload"), papers.schema["exposures"].dataType)
+    return nested.typed_trees(papers).unionByName(raw)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """One row per single number under the measures of an exposure."""
-    return nested.single_values(all_nodes(spark, d)).select("record_id", "exposure_no", "block", "field", "value_no")
+    return nested.single_values(trees(spark, d)).select("record_id", "exposure_no", "block", "field", "value_no")
 
 
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     """The values table with the interval labels and the key of the parent node."""
-    return nested.single_values(all_nodes(spark, d))
+    return nested.single_values(trees(spark, d))
 
 
 def p1_exposures(spark: SparkSession, d: str) -> DataFrame:
     """The exposures table: record, number, label (intervals: see p1_values)."""
-    return nested.exposures(all_nodes(spark, d)).select("record_id", "exposure_no", "label")
+    return nested.exposures(trees(spark, d)).select("record_id", "exposure_no", "label")
 
 
 def p1_terms(spark: SparkSession, d: str) -> DataFrame:
     """The target terms table: record, exposure, number, term."""
-    return nested.target_terms(all_nodes(spark, d)).select("record_id", "exposure_no", "term_no", "term")
+    return nested.target_terms(trees(spark, d)).select("record_id", "exposure_no", "term_no", "term")
 
 
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
     """The records table: one row per record with the size of its tree."""
-    return nested.records(all_nodes(spark, d))
+    return nested.records(trees(spark, d))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -110,6 +111,41 @@ union all
 select record_id, exposure_no, block, field, cast(unnest(range(len(list_filter(vals, lambda v: v is not null)))) as int) as value_no from typed
 """
 )
+# The struct fields of an exposure in the order of its type.
+_PARTS = ("target", "device", "fundamental_frequency_khz", "free_field", "in_situ", "unspecified_domain", "timing")
+_ONE = [(i, b, "", 0) for i, b in enumerate(_PARTS) if b in nested.BLOCKS["exposure"]] + [(i, m, b, k) for i, b in enumerate(_PARTS) for k, m in enumerate(nested.BLOCKS.get(b, ()))]
+
+
+def _measure_path(i: int, block: str, k: int) -> str:
+    return f"[exposure_no, {i}, {k}]" if block else f"[exposure_no, {i}]"
+
+
+_TREE = _P1_FOUND.rsplit("select record_id, exposure_no, block, field, value_no from nums", 1)[0].rstrip() + """, numbered as (
+  select record_id, exposure_no, block, field, try_cast(trim(v ->> '$') as double) as num, cast(row_number() over (partition by record_id, exposure_no, block, field order by steps) - 1 as int) as value_no
+  from raw where json_type(v) in ('BIGINT', 'UBIGINT', 'DOUBLE')
+    or json_type(v) = 'VARCHAR' and regexp_full_match(trim(v ->> '$', E' \\t\\n\\r\\f\\x0b'), '[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?')
+), nodes as (
+  select record_id, cast([] as bigint[]) as path, null as block, null as field, null as value_no, null as num from papers union all select record_id, [], null, null, null, null from raw_papers
+  union all select record_id, [exposure_no], null, null, null, null from x union all select record_id, [exposure_no], null, null, null, null from y
+""" + "".join(
+    f"  union all select record_id, [exposure_no, {i}], null, null, null, null from x where x.{b} is not null union all select record_id, [exposure_no, {i}], null, null, null, null from y where json_type(x, '$.{b}') = 'OBJECT'\n"
+    for i, b in enumerate(_PARTS) if b not in nested.BLOCKS["exposure"]
+) + "".join(
+    f"  union all select record_id, {_measure_path(i, b, k)}, null, null, null, null from x where x.{b + '.' if b else ''}{m} is not null union all select record_id, {_measure_path(i, b, k)}, null, null, null, null from y where json_type(x, '$.{b + '.' if b else ''}{m}') <> 'NULL'\n"
+    f"  union all select record_id, list_append({_measure_path(i, b, k)}, n - 1), '{b or 'exposure'}', '{m}', n - 1, vs[n] from (select record_id, exposure_no, vs, unnest(range(1, len(vs) + 1)) as n from (select record_id, exposure_no, list_filter(x.{b + '.' if b else ''}{m}.vals, lambda v: v is not null) as vs from x))\n"
+    f"  union all select record_id, list_append({_measure_path(i, b, k)}, value_no), block, field, value_no, num from numbered where block = '{b or 'exposure'}' and field = '{m}'\n"
+    for i, m, b, k in _ONE
+) + """  union all select record_id, [exposure_no, 0, n - 1], null, null, null, null from (select record_id, exposure_no, unnest(range(1, len(x.target.terms) + 1)) as n from x)
+  union all select record_id, [exposure_no, 0, i], null, null, null, null from (select *, unnest(range(cast(json_array_length(x, '$.target.terms') as bigint))) as i from y where json_type(x, '$.target.terms') = 'ARRAY') where json_type(x, '$.target.terms[' || i || ']') = 'VARCHAR'
+  union all select record_id, [exposure_no, 0, 0], null, null, null, null from y where json_type(x, '$.target.terms') = 'VARCHAR'
+), sizes as (
+  select record_id, up, count(*) as size from (select record_id, path[1:k] as up from (select record_id, path, unnest(range(0, len(path) + 1)) as k from nodes)) group by all
+), walk as (
+  select nodes.*, row_number() over (partition by record_id order by path) - 1 as pre, len(path) as depth from nodes
+), tree as (
+  select walk.*, pre - depth + size - 1 as post from walk join sizes on sizes.record_id = walk.record_id and sizes.up = walk.path
+)
+"""
 _PROFILE_CELLS = "\n  union all ".join(f"select load_id, '{f}' as field, x.{f} as m from e" for f in profile.FIELDS)
 _PROFILE = f"""
 with e as (
@@ -159,6 +195,9 @@ with recursive e as (
 """
 ORACLES = {
     "p1_found": _P1_FOUND,
+    "p1_values": _TREE + """select v.record_id, cast(v.path[1] as int) as exposure_no, v.block, v.field, cast(v.value_no as int) as value_no, v.num as value, v.pre, v.post, m.pre as parent_pre
+    from tree v join tree m on m.record_id = v.record_id and m.path = v.path[1:len(v.path) - 1] where v.field is not null""",
+    "p1_records": _TREE + "select record_id, 0 as pre, max(pre) as post, count(*) as n_nodes from tree group by record_id",
     "p1_exposures": _EXPOSURES + """select record_id, exposure_no, x.label as label from x
     union all select record_id, exposure_no, case when json_type(x, '$.label') = 'VARCHAR' then x ->> '$.label' end from y""",
     "p1_terms": _EXPOSURES + """select record_id, exposure_no, cast(i as int) as term_no, x.target.terms[i + 1] as term from (select *, unnest(range(len(x.target.terms))) as i from x)

@@ -25,7 +25,7 @@ def rows(df):
 
 def test_shred_typed(spark):
     data = [(1, 1, [None, exposure([5.0, None, float("nan")], [1.0], ["a", None])], "e"), (1, 1, [None, exposure([5.0, None, float("nan")], [1.0], ["a", None])], "e"), (2, 1, None, None), (3, 1, [], None), (None, 1, [exposure([7.0])], None)]
-    nodes = nested.typed_nodes(spark.createDataFrame(data, PAPERS))
+    nodes = nested.typed_trees(spark.createDataFrame(data, PAPERS))
     got = rows(nested.single_values(nodes).select("record_id", "exposure_no", "block", "field", "value_no"))
     f, p = "fundamental_frequency_khz", "pressure_kpa"
     want = [(None, 0, "exposure", f, 0)] + 2 * [(1, 1, "exposure", f, 0), (1, 1, "exposure", f, 1), (1, 1, "free_field", p, 0)]
@@ -33,11 +33,11 @@ def test_shred_typed(spark):
     assert nested.exposures(nodes).count() == 5
     assert nested.records(nodes).count() == 5
     assert [r.term for r in nested.target_terms(nodes).orderBy("term_no").collect()] == ["a", "a", None, None]
-    assert nested.single_values(nested.typed_nodes(spark.createDataFrame([], PAPERS))).count() == 0
+    assert nested.single_values(nested.typed_trees(spark.createDataFrame([], PAPERS))).count() == 0
 
 
 def test_intervals_nest(spark):
-    nodes = nested.typed_nodes(spark.createDataFrame([(1, 1, [exposure([5.0, 6.0], [1.0], ["a"]), exposure()], None)], PAPERS)).collect()
+    nodes = nested.node_rows(nested.typed_trees(spark.createDataFrame([(1, 1, [exposure([5.0, 6.0], [1.0], ["a"]), exposure()], None)], PAPERS))).collect()
     assert sorted(n.pre for n in nodes) == list(range(len(nodes))) == sorted(n.post for n in nodes)
     for a in nodes:
         for b in nodes:  # intervals of two nodes nest or are apart
@@ -58,14 +58,31 @@ def test_intervals_nest(spark):
 )
 def test_shred_payloads(spark, payload, want):
     df = spark.createDataFrame([(9, payload if payload is None or isinstance(payload, str) else json.dumps(payload))], "record_id long, payload string")
-    got = nested.single_values(nested.json_nodes(df)).select("exposure_no", "block", "value_no")
-    assert rows(got) == want
-    assert nested.records(nested.json_nodes(df)).count() == 1
+    trees = nested.json_trees(df, exposures_type(spark))
+    assert rows(nested.single_values(trees).select("exposure_no", "block", "value_no")) == want
+    assert nested.records(trees).count() == 1
 
 
-def test_deep_payload_lists():
-    deep = "[" * 400 + "1" + "]" * 400
-    assert sum(n[0] == "value" for n in nested.payload_nodes('{"exposures": [{"fundamental_frequency_khz": %s}]}' % deep)) == 1
+def exposures_type(spark):
+    return spark.createDataFrame([], PAPERS).schema["exposures"].dataType
+
+
+@pytest.mark.parametrize("depth", [400, 100_000])
+def test_deep_payload_lists(spark, depth):
+    deep = "[" * depth + '1, "2", ' + "9" * 5000 + ', {"a": [null, true]}, []' + "]" * depth
+    nodes = nested.payload_nodes('{"exposures": [{"fundamental_frequency_khz": %s}]}' % deep, exposures_type(spark))
+    assert [n[5] for n in nodes if n[0] == "value"] == [1.0, 2.0, float("inf")]
+    for bad in ("}", " 1", "", ",", ":1"):
+        broken = '{"exposures": [{"fundamental_frequency_khz": %s}]}' % (deep[:-1] if not bad else deep) + bad
+        assert len(nested.payload_nodes(broken, exposures_type(spark))) == 1
+
+
+def test_typed_and_payload_walks_agree(spark):
+    record = {"exposures": [None, {"label": "x", "timing": {"duty_cycle_pct": [1, 2], "waveform": "w"}, "target": {"terms": ["a", "b"]}, "device": {"family": "f"}, "fundamental_frequency_khz": 5.0}]}
+    typed = [None, ("x", (["a", "b"], None), ("f",), ("value", [5.0], False), None, None, None, ("w", None, None, ("value", [1.0, 2.0], True), None))]
+    a = nested.node_rows(nested.typed_trees(spark.createDataFrame([(1, 1, typed, None)], PAPERS)))
+    b = nested.node_rows(nested.json_trees(spark.createDataFrame([(1, json.dumps(record))], "record_id long, payload string"), exposures_type(spark)))
+    assert rows(a) == rows(b) and a.count() == 13
 
 
 # ---- problem 3 ---------------------------------------------------------------------------
