@@ -23,13 +23,16 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
+from strandline.functions.text import let
+
 NODE = "struct<kind:string,name:string,ordinal:int,depth:int,size:int,num:double,text:string>"
 
 # The blocks of an exposure and the measures in each.
@@ -250,14 +253,14 @@ def node_rows(trees: DataFrame) -> DataFrame:
 
 def inside(nodes: Column, kind: str, base: Column | int = 0, contents: bool = True) -> Column:
     """The nodes of a kind in a slice of a walk that begins at pre number ``base``, in order: STRUCT
-    <pre, post, name, ordinal, num, text, below>; below is the slice of what the node contains."""
+    <pre, post, name, ordinal, depth, num, text, below>; below is the slice of what the node contains."""
 
-    def pick(n: Column, i: Column) -> Column:
+    def pick(every: Column, n: Column, i: Column) -> Column:
         pre = i + base
-        below = [F.slice(nodes, i + 2, n.size - 1).alias("below")] if contents else []
-        return F.when(n.kind == kind, F.struct(pre.alias("pre"), (pre - n.depth + n.size - 1).alias("post"), n["name"].alias("name"), n.ordinal.alias("ordinal"), n.num.alias("num"), n.text.alias("text"), *below))
+        below = [F.slice(every, i + 2, n.size - 1).alias("below")] if contents else []
+        return F.when(n.kind == kind, F.struct(pre.alias("pre"), (pre - n.depth + n.size - 1).alias("post"), n["name"].alias("name"), n.ordinal.alias("ordinal"), n.depth.alias("depth"), n.num.alias("num"), n.text.alias("text"), *below))
 
-    return F.array_compact(F.transform(nodes, pick))
+    return let(nodes, lambda every: F.array_compact(F.transform(every, lambda n, i: pick(every, n, i))))
 
 
 def holder(nodes: Column, x: Column) -> Column:
@@ -265,32 +268,52 @@ def holder(nodes: Column, x: Column) -> Column:
     return F.try_element_at(F.filter(nodes, lambda h: (h.pre < x.pre) & (h.post > x.post)), F.lit(-1))
 
 
-def _items(trees: DataFrame) -> DataFrame:
-    """(record_id, item): one row per element of ``exposures``, with its slice of the walk."""
-    return trees.select("record_id", F.explode(inside(F.col("nodes"), "item")).alias("item")).where("item.name = 'exposures'")
+def _each_item(trees: DataFrame, rows: Callable[[Column], Column]) -> DataFrame:
+    """(record_id, r): the ``rows(item)`` of every element of ``exposures``. All slicing is inside one
+    expression, so a record's nodes are never written to a row before they are rows of a table."""
+    items = F.filter(inside(F.col("nodes"), "item"), lambda x: x["name"] == "exposures")
+    return trees.select("record_id", F.explode(F.flatten(F.transform(items, rows))).alias("r"))
+
+
+def single_values(trees: DataFrame, labels: bool = True) -> DataFrame:
+    """The table of single numbers, each with the key of its parents; without ``labels`` only that
+    key, not the number, its interval and the pre number of its measure."""
+
+    def row(item: Column, block: Column, m: Column, v: Column, i: Column) -> Column:
+        pre = m.pre + 1 + i
+        more = [v.num.alias("value"), pre.alias("pre"), (pre - v.depth + v.size - 1).alias("post"), m.pre.alias("parent_pre")] if labels else []
+        return F.struct(item.ordinal.alias("exposure_no"), block.alias("block"), m["name"].alias("field"), v.ordinal.alias("value_no"), *more)
 
+    def of_block(item: Column, block: Column, measures: Column) -> Column:
+        held = F.filter(measures, lambda m: F.size(m.below) > 0)
+        each = F.transform(held, lambda m: F.transform(m.below, lambda v, i: row(item, block, m, v, i)))  # a measure contains nothing but numbers
+        return F.flatten(each)
 
-def single_values(trees: DataFrame) -> DataFrame:
-    """The table of single numbers, each with the key of its parents."""
-    names = [F.struct(F.lit(b).alias("block"), F.lit(m).alias("field")) for b, ms in BLOCKS.items() for m in ms]
-    at = F.col("item.pre") + 1
-    parts = _items(trees).select("record_id", F.col("item.ordinal").alias("exposure_no"), at.alias("at"), inside(F.col("item.below"), "block", at, False).alias("blocks"), F.explode(inside(F.col("item.below"), "measure", at)).alias("m"))
-    block = F.coalesce(holder(F.col("blocks"), F.col("m"))["name"], F.lit("exposure"))
-    got = parts.select("record_id", "exposure_no", block.alias("block"), F.col("m.name").alias("field"), F.col("m.pre").alias("parent_pre"), F.col("m.below").alias("below")).where(F.struct("block", "field").isin(*names))
-    got = got.select("record_id", "exposure_no", "block", "field", "parent_pre", F.explode(inside(F.col("below"), "value", F.col("parent_pre") + 1, False)).alias("v"))
-    return got.select("record_id", "exposure_no", "block", "field", F.col("v.ordinal").alias("value_no"), F.col("v.num").alias("value"), "v.pre", "v.post", "parent_pre")
+    def of_item(item: Column) -> Column:
+        own = F.filter(inside(item.below, "measure", item.pre + 1), lambda m: m.depth == item.depth + 1)
+        blocks = F.transform(inside(item.below, "block", item.pre + 1), lambda b: of_block(item, b["name"], inside(b.below, "measure", b.pre + 1)))
+        return F.flatten(F.concat(F.array(of_block(item, F.lit("exposure"), own)), blocks))
+
+    got = _each_item(trees, of_item).select("record_id", "r.*")
+    known = reduce(lambda a, c: a | c, [(F.col("block") == b) & F.col("field").isin(*ms) for b, ms in BLOCKS.items()])
+    return got.where(known)
 
 
 def exposures(trees: DataFrame) -> DataFrame:
     """The table of exposures; the parent is the record node, pre 0."""
-    return _items(trees).select("record_id", F.col("item.ordinal").alias("exposure_no"), F.col("item.text").alias("label"), "item.pre", "item.post", F.lit(0).alias("parent_pre"))
+    got = _each_item(trees, lambda x: F.array(F.struct(x.ordinal.alias("exposure_no"), x.text.alias("label"), x.pre.alias("pre"), x.post.alias("post"), F.lit(0).alias("parent_pre"))))
+    return got.select("record_id", "r.*")
 
 
 def target_terms(trees: DataFrame) -> DataFrame:
     """The table of target terms, each with its exposure."""
-    at = F.col("item.pre") + 1
-    got = _items(trees).select("record_id", F.col("item.ordinal").alias("exposure_no"), inside(F.col("item.below"), "block", at, False).alias("blocks"), F.explode(inside(F.col("item.below"), "leaf", at, False)).alias("t")).where("t.name = 'terms'")
-    return got.select("record_id", "exposure_no", F.col("t.ordinal").alias("term_no"), F.col("t.text").alias("term"), "t.pre", "t.post", holder(F.col("blocks"), F.col("t")).pre.alias("parent_pre"))
+
+    def of_item(item: Column) -> Column:
+        row = lambda t, blocks: F.struct(item.ordinal.alias("exposure_no"), t.ordinal.alias("term_no"), t.text.alias("term"), t.pre.alias("pre"), t.post.alias("post"), holder(blocks, t).pre.alias("parent_pre"))
+        leaves = F.filter(inside(item.below, "leaf", item.pre + 1, False), lambda t: t["name"] == "terms")
+        return let(inside(item.below, "block", item.pre + 1, False), lambda blocks: F.transform(leaves, lambda t: row(t, blocks)))
+
+    return _each_item(trees, of_item).select("record_id", "r.*")
 
 
 def records(trees: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def trees(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """One row per single number under the measures of an exposure."""
-    return nested.single_values(trees(spark, d)).select("record_id", "exposure_no", "block", "field", "value_no")
+    return nested.single_values(trees(spark, d), labels=False)
 
 
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
