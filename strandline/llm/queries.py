@@ -35,10 +35,10 @@ def p4_survivors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_consistent(spark: SparkSession, d: str) -> DataFrame:
-    """As p4_found, under the dependency doi -> year: the year must not come from an entry
-    that holds another doi than the surviving one."""
-    m = table(spark, d, "manifest").withColumn("doi", F.lower(F.regexp_extract("doi", r"(?U)(10\.[0-9]{4,9}/\s*\S+)", 1)))
-    got = survivors.choose(m, survivors.manifest_bundles(), table(spark, d, "source_trust"), dependencies=[("doi", "year")])
+    """Survivors in bundles - doi; year and journal; title and authors - under the dependencies of the
+    two latter on the doi: neither may come from an entry that holds another doi than the survivor's."""
+    bundles, deps, trusted = survivors.real_bundles()
+    got = survivors.choose(table(spark, d, "manifest"), bundles, table(spark, d, "source_trust"), dependencies=deps, trusted_as=trusted)
     return got.select("text_key", "field", "entry_id", "value", "consistent")
 
 
@@ -102,7 +102,39 @@ with t as (
 )
 """.replace("PLACES", ", ".join(f"'{x}'" for x in survivors.PLACEHOLDERS)).replace("HEADS", ", ".join(f"'{x}'" for x in survivors.HEADINGS))
 
+# All combinations of candidates, the admissible one of the least sum of ranks first.
+_COMBINED = _USABLE.replace("select text_key, entry_id, record_source, updated_at, 'doi' as field, doi as value from g", "select text_key, entry_id, record_source, updated_at, 'doi' as field, doi as value, doi as raw_doi, year, journal, title, authors from g").split(", c as (")[0] + """, k as (
+  select text_key, entry_id, record_source, updated_at,
+    case when regexp_matches(doi, '10\\.[0-9]{4,9}/[\\s\\x{00a0}]*[^\\s\\x{00a0}]') then lower(regexp_extract(doi, '(10\\.[0-9]{4,9}/[\\s\\x{00a0}]*[^\\s\\x{00a0}]+)', 1)) end as d,
+    case when year between 1900 and 2026 and length(trim(journal)) > 0 then cast(year as varchar) || '|' || journal end as i,
+    case when len(authors) > 0 and (TITLE) then title || '|' || array_to_string(list_transform(authors, lambda a: coalesce(a.family, '')), ';') end as w
+  from g
+), c as (
+  select text_key, entry_id, record_source, updated_at, 'doi' as field, 'doi' as trusted, d as value, null as given from k where d is not null
+  union all select text_key, entry_id, record_source, updated_at, 'issue', 'year', i, d from k where i is not null
+  union all select text_key, entry_id, record_source, updated_at, 'work', 'title', w, d from k where w is not null
+), o as (
+  select text_key, c.field, value, given, min({rank: coalesce(s.trust_rank, 2147483647), undated: updated_at is null, age: -epoch_us(updated_at), entry: entry_id}) as o
+  from c left join source_trust s on s.source = c.record_source and s.field = c.trusted group by text_key, c.field, value, given
+), x as (
+  select *, row_number() over (partition by text_key, field order by o, value, given) as at from o
+), p as (
+  select n.text_key, d.o as od, d.value as vd, d.at as ad, i.o as oi, i.value as vi, i.at as ai, w.o as ow, w.value as vw, w.at as aw,
+    (d.value is null or ((i.given is null or i.given = d.value) and (w.given is null or w.given = d.value))) as fits,
+    coalesce(d.o.rank, 0)::bigint + coalesce(i.o.rank, 0)::bigint + coalesce(w.o.rank, 0)::bigint as cost
+  from (select distinct text_key from x) n left join (select * from x where field = 'doi') d on d.text_key = n.text_key
+    left join (select * from x where field = 'issue') i on i.text_key = n.text_key left join (select * from x where field = 'work') w on w.text_key = n.text_key
+), f as (
+  select * from (select *, row_number() over (partition by text_key order by not fits, case when fits then cost end, ad, ai, aw) as n from p) where n = 1
+)
+select text_key, 'doi' as field, od.entry as entry_id, vd as value, fits as consistent from f where vd is not null
+union all select text_key, 'issue', oi.entry, vi, fits from f where vi is not null
+union all select text_key, 'work', ow.entry, vw, fits from f where vw is not null
+"""
+_COMBINED = _COMBINED.replace("TITLE", _USABLE.split("'title', title from g\n  where ", 1)[1].split("\n), r as (")[0])
+
 ORACLES: dict[str, str] = {
+    "p4_consistent": _COMBINED,
     "p4_found": _USABLE + "select text_key, field, entry_id from r where n = 1",
     "p4_survivors": _USABLE
     + """select text_key, max(case when field = 'doi' then value end) as doi, max(case when field = 'doi' then entry_id end) as doi_entry,

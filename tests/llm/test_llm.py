@@ -131,41 +131,45 @@ def test_survivors(spark):
     assert survivors.choose(spark.createDataFrame([], MANIFEST), survivors.manifest_bundles(), trust).count() == 0
 
 
-@pytest.mark.parametrize("width", [1, 3, 16])
-def test_dependencies_match_brute_force(spark, width):
+@pytest.mark.parametrize("width, most", [(1, 0), (1, 4), (2, 8), (16, 64)])
+def test_dependencies_match_brute_force(spark, width, most):
+    """Branch and bound at several widths, and elimination (most = 0), against all combinations."""
     import itertools
 
     rnd = random.Random(7)
+    rank = {("x", "doi"): 1, ("y", "doi"): 2, ("x", "year"): 1, ("y", "year"): 3, ("y", "title"): 1}
     rows, want = [], {}
     n = 0
-    for g in range(40):
+    for g in range(60):
         group = []
-        for _ in range(rnd.randint(2, 6)):
+        for _ in range(rnd.randint(2, 7)):
             n += 1
-            group.append((n, rnd.choice(["10.9900/a", "10.9900/b", None]), rnd.choice([2001, 2002, None]), None, rnd.choice("xyz"), None, f"k{g}", None))
+            group.append((n, rnd.choice(["10.9900/a", "10.9900/b", "10.9900/c", None]), rnd.choice([2001, 2002, None]), rnd.choice(["First good title", "Another fine title", None]), rnd.choice("xyz"), None, f"k{g}", None))
         rows += group
-        rank = {"x": 1, "y": 2}
-        order = lambda e: (rank.get(e[4], 10**9), e[0])
-        firsts = lambda es, f: [e for i, e in enumerate(es) if all(f(e) != f(x) for x in es[:i])]
-        dois = firsts(sorted((e for e in group if e[1]), key=order), lambda e: e[1])
-        years = firsts(sorted((e for e in group if e[2]), key=order), lambda e: (e[2], e[1]))
-        pairs = [(i + j, a, b) for (i, a), (j, b) in itertools.product(enumerate(dois), enumerate(years)) if b[1] in (None, a[1])]
-        if dois and years and pairs:
-            want[f"k{g}"] = min(p[0] for p in pairs)
-    trust = spark.createDataFrame([("x", "doi", 1), ("y", "doi", 2), ("x", "year", 1), ("y", "year", 2)], "source string, field string, trust_rank int")
-    got = survivors.choose(spark.createDataFrame(rows, MANIFEST), survivors.manifest_bundles(), trust, dependencies=[("doi", "year")], width=width).collect()
-    by = {}
-    for r in got:
-        by.setdefault(r.text_key, {})[r.field] = (r.entry_id, r.value, r.consistent)
-    entry = {r[0]: r for r in rows}
-    for k, cost in want.items():
-        doi, year = by[k]["doi"], by[k]["year"]
-        assert doi[2] and entry[year[0]][1] in (None, doi[1])
-        group = [r for r in rows if r[6] == k]
-        order = lambda e: ({"x": 1, "y": 2}.get(e[4], 10**9), e[0])
-        dois = list(dict.fromkeys(e[1] for e in sorted((e for e in group if e[1]), key=order)))
-        years = list(dict.fromkeys((e[2], e[1]) for e in sorted((e for e in group if e[2]), key=order)))
-        assert dois.index(doi[1]) + years.index((entry[year[0]][2], entry[year[0]][1])) == cost
+
+        def candidates(field, at):
+            seen = {}
+            for e in sorted((e for e in group if e[at]), key=lambda e: (rank.get((e[4], field), survivors.LAST_RANK), e[0])):
+                seen.setdefault((e[at], None if field == "doi" else e[1]), (rank.get((e[4], field), survivors.LAST_RANK), e[0], e[1]))
+            return list(seen.values()) or [None]
+
+        lists = [candidates("doi", 1), candidates("year", 2), candidates("title", 3)]
+        best = min(
+            (
+                (not all(c is None or d is None or c[2] in (None, d[2]) for c in (y, t)), sum(c[0] for c in (d, y, t) if c), i, j, k, [c and c[1] for c in (d, y, t)])
+                for (i, d), (j, y), (k, t) in itertools.product(*map(enumerate, lists))
+            ),
+            key=lambda r: (r[0], *(r[1:5] if not r[0] else r[2:5])),
+        )
+        for f, e in zip(("doi", "year", "title"), best[5]):
+            if e:
+                want[f"k{g}", f] = (e, not best[0])
+    trust = spark.createDataFrame([(*k, v) for k, v in rank.items()], "source string, field string, trust_rank int")
+    got = survivors.choose(spark.createDataFrame(rows, MANIFEST), survivors.manifest_bundles(), trust, dependencies=[("doi", "year"), ("doi", "title")], width=width, most=most).collect()
+    assert {(r.text_key, r.field): (r.entry_id, r.consistent) for r in got} == want and len(got) == len(want)
+    assert any(not ok for _, ok in want.values())
+    with pytest.raises(ValueError):
+        survivors.choose(spark.createDataFrame(rows, MANIFEST), survivors.manifest_bundles(), trust, dependencies=[("doi", "year"), ("year", "title")])
 
 
 # ---- problem 2 -----------------------------------------------------------------------------
