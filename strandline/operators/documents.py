@@ -11,20 +11,53 @@ from strandline.functions import text as tx
 CHUNK = 100
 #: Characters of pages that count as nearly empty, and of documents that are too short.
 THIN_PAGE, THIN_DOCUMENT = 40, 500
+# Blocks that repeat on every page.
+FURNITURE = ("header", "footer", "page_number")
 
 
-def assemble(pages: DataFrame, key: str, page: str, body: str, chunk: int = CHUNK) -> DataFrame:
-    """(key, chunk_no, first_page, n_pages, text): pages joined by form feeds, in order.
+def rendered(block: Column, page: Column) -> Column:
+    """Text of one layout block STRUCT<type, text, text_level, list_items, table_caption, table_body,
+    table_footnote, image_caption, image_footnote, content>, '' for none.
 
-    Missing pages inside a piece count as empty ones. Pages with the same number are joined
-    by a line feed in order of text. A document comes out in pieces of ``chunk`` pages, so no
-    task holds more than those.
+    Headings get their level, lists one line an item, tables and figures their captions, bodies and
+    notes; page numbers go, other furniture stays on the first page or if it holds a key.
     """
-    rows = pages.where(F.col(key).isNotNull() & F.col(page).isNotNull()).withColumn("chunk_no", F.floor(F.col(page) / chunk))
-    one = rows.groupBy(key, "chunk_no", page).agg(F.array_join(F.array_sort(F.collect_list(F.coalesce(body, F.lit("")))), "\n").alias("_t"))
-    got = one.groupBy(key, "chunk_no").agg(F.min(page).alias("first_page"), F.max(page).alias("_z"), F.map_from_entries(F.collect_list(F.struct(page, "_t"))).alias("_m"))
-    filled = F.transform(F.sequence("first_page", "_z"), lambda p: F.coalesce(F.try_element_at("_m", p), F.lit("")))
-    return got.select(key, "chunk_no", "first_page", (F.col("_z") - F.col("first_page") + 1).alias("n_pages"), F.array_join(filled, "\f").alias("text"))
+    text = F.trim(F.coalesce(block.text, F.lit("")))
+    items = F.filter(F.transform(F.coalesce(block.list_items, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
+    some = lambda c: F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: F.trim(x) != "")
+    one = lambda c: F.when(F.length(F.trim(c)) > 0, F.array(F.trim(c))).otherwise(F.array().cast("array<string>"))
+    table = F.array_join(F.concat(some(block.table_caption), one(block.table_body), some(block.table_footnote)), "\n\n")
+    figure = F.array_join(F.concat(some(block.image_caption), some(block.image_footnote), one(block.content)), "\n\n")
+    heading = F.concat(F.repeat(F.lit("#"), F.least(block.text_level + 1, F.lit(6))), F.lit(" "), text)
+    kind = block.type
+    return (
+        F.when(kind.isin(*FURNITURE), F.when((kind != "page_number") & ((page == 0) | text.rlike(r"10\.[0-9]{4,9}/")), text).otherwise(""))
+        .when((kind == "text") & (text != "") & (F.coalesce(block.text_level, F.lit(0)) > 0), heading)
+        .when(kind == "list", F.when(F.size(items) > 0, F.array_join(items, "\n")).otherwise(text))
+        .when(kind == "table", table)
+        .when(kind.isin("image", "chart"), figure)
+        .otherwise(text)
+    )
+
+
+def assemble(blocks: DataFrame, key: str, page: str, order: str, body: str, chunk: int = CHUNK) -> DataFrame:
+    """(key, chunk_no, first_page, n_pages, text): the blocks of a document, page by page.
+
+    The non-empty blocks of a page are joined by blank lines in ``order`` and end with a line feed;
+    pages are joined by form feeds and count from 0, so a page without blocks is a bare line feed.
+    Soft hyphens go. A null page is page 0. A document comes out in pieces of ``chunk`` pages, all
+    of them up to its last page: joined by form feeds they are the whole text, and no task holds
+    more than a piece. Null keys form no document.
+    """
+    rows = blocks.where(F.col(key).isNotNull() & (F.length(body) > 0)).select(key, F.greatest(F.lit(0), F.coalesce(page, F.lit(0))).alias("_page"), F.col(order).alias("_o"), F.col(body).alias("_b"))
+    one = rows.groupBy(key, "_page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_b"))), lambda x: x["_b"]), "\n\n").alias("_t"))  # one page's blocks
+    held = one.groupBy(key, F.floor(F.col("_page") / chunk).alias("chunk_no")).agg(F.map_from_entries(F.collect_list(F.struct("_page", "_t"))).alias("_m"))
+    last = one.groupBy(key).agg(F.max("_page").alias("_z"))
+    every = last.select(key, "_z", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_z") / chunk))).alias("chunk_no"))
+    got = every.join(held, [key, "chunk_no"], "left").withColumn("first_page", (F.col("chunk_no") * chunk).cast("int"))
+    final = F.least(F.col("_z"), F.col("first_page") + chunk - 1)
+    text = F.transform(F.sequence("first_page", final), lambda p: F.concat(F.coalesce(F.try_element_at("_m", p), F.lit("")), F.lit("\n")))
+    return got.select(key, "chunk_no", "first_page", (final - F.col("first_page") + 1).alias("n_pages"), F.replace(F.array_join(text, "\f"), F.lit("\u00ad"), F.lit("")).alias("text"))
 
 
 def pages_of(docs: DataFrame, key: str, body: str, first: int | None = None) -> DataFrame:

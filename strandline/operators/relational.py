@@ -50,25 +50,64 @@ def merge_sources(df: DataFrame, key: str, order: Sequence[str], source: str, fi
     return got.select(key, "_f.*", F.col("_b._v").alias(fill), F.transform("_s", lambda x: x.s).alias("found_by"))
 
 
+def state_changes(df: DataFrame, key: str, order: Sequence[str], state: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """(key, seq, *order, *state, last): the rows whose state differs from that of the row before, in
+    order of the key; ``last`` marks the current state. Null keys are left out.
+
+    Rows are range-partitioned by (key, order), so a key of any size is split. Neighbours are
+    compared inside a partition; the first row of a key in a partition is compared with the last
+    of the partition before, which comes from one row per key and partition.
+    """
+    from strandline.session import cut, shuffle_partitions
+
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.struct(*order).alias("_o"), F.struct(*state).alias("_s"))
+    n = partitions or shuffle_partitions(df.sparkSession)
+    rows = cut(rows.repartitionByRange(n, "_k", "_o").withColumn("_p", F.spark_partition_id()))
+    here = Window.partitionBy("_p", "_k").orderBy("_o", "_s")
+    ends = rows.groupBy("_p", "_k").agg(F.max(F.struct("_o", "_s")).alias("_z"))
+    over = Window.partitionBy("_k").orderBy("_p")  # at most one row per partition
+    carried = ends.select("_p", "_k", F.lag("_z").over(over)["_s"].alias("_c"))
+    seen = rows.withColumns({"_b": F.lag("_s").over(here), "_r": F.row_number().over(here)}).join(carried, ["_p", "_k"])
+    before = F.when(F.col("_r") == 1, F.col("_c")).otherwise(F.col("_b"))
+    steps = cut(seen.where(before.isNull() | ~before.eqNullSafe(F.col("_s"))).select("_p", "_k", "_o", "_s"))
+    sums = steps.groupBy("_p", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sums.select("_p", "_k", (F.sum("_n").over(over) - F.col("_n")).alias("_a"), F.sum("_n").over(Window.partitionBy("_k")).alias("_all"))
+    got = steps.withColumn("_r", F.row_number().over(here)).join(offsets, ["_p", "_k"]).withColumn("seq", (F.col("_r") + F.col("_a")).cast("int"))
+    return got.select(F.col("_k").alias(key), "seq", "_o.*", "_s.*", (F.col("seq") == F.col("_all")).alias("last"))
+
+
 def superseded(df: DataFrame, key: str, order: Sequence[str], state: Sequence[str]) -> DataFrame:
     """Rows that a different later state of the same key replaced: (key, seq, *state).
 
-    A repeat of the state just before is neither history nor a replacement. Keys are ordered
-    by a window, which sorts within the key and spills.
+    A repeat of the state just before is neither history nor a replacement.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    cur = _struct(state)
-    rows = df.where(F.col(key).isNotNull()).withColumn("_prev", F.lag(cur).over(w)).withColumn("_n", F.row_number().over(w))
-    steps = rows.where(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(cur))
-    w2 = Window.partitionBy(key).orderBy("_n")
-    return steps.withColumn("seq", F.row_number().over(w2)).withColumn("_next", F.lead("_n").over(w2)).where("_next is not null").select(key, "seq", *state)
+    return state_changes(df, key, order, state).where("not last").select(key, "seq", *state)
 
 
 def current_with_history(df: DataFrame, key: str, order: Sequence[str], state: Sequence[str]) -> DataFrame:
-    """Current state per key, number of replacements, and the replaced states in order."""
-    now = last_wins(df.select(key, *order, *state), key, order)
-    past = superseded(df, key, order, state).groupBy(key).agg(F.count(F.lit(1)).alias("n_replaced"), F.transform(F.array_sort(F.collect_list(F.struct("seq", *state))), lambda x: F.struct(*[x[s].alias(s) for s in state])).alias("history"))
-    return now.select(key, *state).join(past, key, "left").withColumn("n_replaced", F.coalesce("n_replaced", F.lit(0)))
+    """Current state per key and number of replacements; the replaced states are ``superseded``, rows
+    of their own, as one key may have any number."""
+    return state_changes(df, key, order, state).where("last").select(key, *state, (F.col("seq") - 1).alias("n_replaced"))
+
+
+def record_verdicts(rows: DataFrame, key: str, order: Sequence[str], state: Sequence[str], verdict: str, parked: dict[str, str], criterion: str = "criterion", parked_class: str = "parked_class") -> DataFrame:
+    """(key, *state, parked_class, n_replaced): the ledger after ``rows`` in order.
+
+    Rows without a key or a verdict are ignored. The later row replaces the earlier one; if run,
+    verdict or criterion (``state``) differ, that counts as a replacement. A row without a parked
+    class gets that of its criterion in ``parked``, if any.
+    """
+    held = rows.where(F.col(key).isNotNull() & (F.length(verdict) > 0))
+    default = F.lit(None).cast("string")
+    for c, name in parked.items():
+        default = F.when(F.col(criterion) == c, F.lit(name)).otherwise(default)
+    now = last_wins(held.select(key, *order, F.coalesce(F.col(parked_class), default).alias(parked_class)), key, order).select(key, parked_class)
+    return current_with_history(held, key, order, state).join(now, key)
+
+
+def upsert_counts(ledger: DataFrame) -> DataFrame:
+    """(added, replaced) of a ledger made by ``record_verdicts`` from nothing."""
+    return ledger.agg(F.count(F.lit(1)).alias("added"), F.coalesce(F.sum("n_replaced"), F.lit(0)).alias("replaced"))
 
 
 def accumulate(new: DataFrame, prior: DataFrame, key: str) -> DataFrame:

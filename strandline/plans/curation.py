@@ -33,39 +33,56 @@ def q_load_profile(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, map(one, TABLES))
 
 
-@query(f"with {_LEDGER} select k as doi, ledger_id, verdict, criterion, run from (select *, row_number() over (partition by k order by received_at desc, ledger_id desc) as n from l where received_at is not null) where n = 1")
+@query(f"with {_LEDGER} select k as doi, ledger_id, verdict, criterion, run from (select *, row_number() over (partition by k order by received_at desc nulls last, ledger_id desc) as n from l) where n = 1")
 def q_ledger_last_wins(spark: SparkSession, d: str) -> DataFrame:
     """The latest ledger row of every key."""
-    rows = ledger(spark, d).where("received_at is not null").select("k", "received_at", "ledger_id", "verdict", "criterion", "run")
+    rows = ledger(spark, d).select("k", "received_at", "ledger_id", "verdict", "criterion", "run")
     return rel.last_wins(rows, "k", ["received_at", "ledger_id"]).select(F.col("k").alias("doi"), "ledger_id", "verdict", "criterion", "run")
 
 
+# Rows without a verdict are ignored; rows received at no known time come first.
 _HISTORY = f"""
-with {_LEDGER}, s as (
-  select k, received_at, ledger_id, {{run: run, verdict: verdict, criterion: criterion}} as st,
-    lag({{run: run, verdict: verdict, criterion: criterion}}) over w as prev, row_number() over w as n
-  from l where received_at is not null window w as (partition by k order by received_at, ledger_id)
+with {_LEDGER}, v as (select *, coalesce(received_at, timestamp '0001-01-01') as rcv from l where length(verdict) > 0), s as (
+  select *, {{run: run, verdict: verdict, criterion: criterion}} as st, lag({{run: run, verdict: verdict, criterion: criterion}}) over w as prev, row_number() over w as n
+  from v window w as (partition by k order by rcv, ledger_id)
 ), steps as (
   select *, lead(n) over (partition by k order by n) as nxt, row_number() over (partition by k order by n) as seq from s where prev is null or prev is distinct from st
+), now as (
+  select k, coalesce(parked_class, case when criterion = 'E9' then 'neural_regeneration' end) as parked_class from (select *, row_number() over (partition by k order by rcv desc, ledger_id desc) as z from v) where z = 1
+), cur as (
+  select steps.k, steps.run, steps.verdict, steps.criterion, now.parked_class, cast(seq - 1 as int) as n_replaced from steps join now on now.k = steps.k where nxt is null
 )
 """
+#: Fixed value: the class under which a reversible ruling is parked, by its code.
+PARKED = {"E9": "neural_regeneration"}
 
 
-@query(_HISTORY + "select k as doi, cast(seq as int) as seq, st.run as run, st.verdict as verdict, st.criterion as criterion from steps where nxt is not null")
+def verdicts(spark: SparkSession, d: str) -> DataFrame:
+    """Ledger rows with a verdict; a null time of receipt is before all others."""
+    at = F.coalesce("received_at", F.expr("timestamp'0001-01-01'").cast(table(spark, d, "ledger").schema["received_at"].dataType))
+    return ledger(spark, d).where("length(verdict) > 0").select("k", at.alias("at"), "ledger_id", *STATE, "parked_class")
+
+
+def recorded(spark: SparkSession, d: str) -> DataFrame:
+    return rel.record_verdicts(verdicts(spark, d), "k", ["at", "ledger_id"], STATE, "verdict", PARKED)
+
+
+@query(_HISTORY + "select k as doi, cast(seq as int) as seq, run, verdict, criterion from steps where nxt is not null")
 def q_ledger_history(spark: SparkSession, d: str) -> DataFrame:
     """States that a different later state of the same key replaced."""
-    rows = ledger(spark, d).where("received_at is not null").select("k", "received_at", "ledger_id", *STATE)
-    return rel.superseded(rows, "k", ["received_at", "ledger_id"], STATE).withColumnRenamed("k", "doi")
+    return rel.superseded(verdicts(spark, d), "k", ["at", "ledger_id"], STATE).withColumnRenamed("k", "doi")
 
 
-@query(
-    _HISTORY
-    + """select n_replaced, count(*) as n_keys from (select k, count(nxt) as n_replaced from steps group by k) group by n_replaced"""
-)
+@query(_HISTORY + "select k as doi, run, verdict, criterion, parked_class, n_replaced from cur")
 def q_ledger_current(spark: SparkSession, d: str) -> DataFrame:
-    """How many keys were replaced how often."""
-    rows = ledger(spark, d).where("received_at is not null").select("k", "received_at", "ledger_id", *STATE)
-    return rel.current_with_history(rows, "k", ["received_at", "ledger_id"], STATE).groupBy("n_replaced").agg(F.count(F.lit(1)).alias("n_keys"))
+    """The ledger: last state of every key, its parked class and number of replacements."""
+    return recorded(spark, d).select(F.col("k").alias("doi"), *STATE, "parked_class", "n_replaced")
+
+
+@query(_HISTORY + "select count(*) as added, coalesce(sum(n_replaced), 0)::bigint as replaced from cur")
+def q_ledger_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Keys added and states replaced when all rows are recorded."""
+    return rel.upsert_counts(recorded(spark, d))
 
 
 @query("""

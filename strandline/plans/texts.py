@@ -137,30 +137,33 @@ def q_ack_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-with p as (select citekey, page_no, string_agg(coalesce(text, ''), chr(10) order by coalesce(text, '')) as t from documents where citekey is not null and page_no is not null group by all),
-c as (select citekey, page_no // 100 as chunk_no, min(page_no) as a, max(page_no) as z from p group by all),
-f as (select citekey, chunk_no, a, z, unnest(range(a, z + 1)) as page_no from c)
-select f.citekey, cast(chunk_no as bigint) as chunk_no, a as first_page, z - a + 1 as n_pages, md5(string_agg(coalesce(t, ''), chr(12) order by f.page_no)) as text_md5 from f left join p using (citekey, page_no) group by f.citekey, chunk_no, a, z
+with p as (select citekey, greatest(0, coalesce(page_no, 0)) as page, string_agg(text, chr(10) || chr(10) order by doc_id) as t from documents where citekey is not null and text <> '' group by all),
+f as (select citekey, z, unnest(range(0, z + 1)) as page from (select citekey, max(page) as z from p group by citekey))
+select f.citekey, cast(f.page // 100 as bigint) as chunk_no, cast(min(f.page) as int) as first_page, cast(count(*) as int) as n_pages,
+  md5(replace(string_agg(coalesce(t, '') || chr(10), chr(12) order by f.page), chr(173), '')) as text_md5
+from f left join p on p.citekey = f.citekey and p.page = f.page group by f.citekey, f.page // 100
 """)
 def q_page_assembly(spark: SparkSession, d: str) -> DataFrame:
-    """Pages joined to documents, in pieces of 100 pages, gaps as empty pages."""
-    got = docs.assemble(table(spark, d, "documents").select("citekey", "page_no", "text"), "citekey", "page_no", "text")
+    """Rows of a document as blocks of its pages, in pieces of 100 pages from page 0 on."""
+    got = docs.assemble(table(spark, d, "documents").select("citekey", "page_no", "doc_id", "text"), "citekey", "page_no", "doc_id", "text")
     return got.select("citekey", "chunk_no", "first_page", "n_pages", F.md5("text").alias("text_md5"))
 
 
 @query("""
 with t as (select doc_id, coalesce(text, '') as t, replace(coalesce(text, ''), chr(12), '') as f from documents),
-q as (select *, length(trim(f)) as n, string_split(t, chr(12)) as pages from t)
+q as (select *, length(trim(f)) as n, string_split(t, chr(12)) as pages,
+  list_transform(regexp_extract_all(f, '(?m)^(#+ +)?([0-9]{1,2}\\.[0-9]{1,2})\\s+[A-Za-z]', 2), lambda s: [cast(split_part(s, '.', 1) as int), cast(split_part(s, '.', 2) as int)]) as v from t)
 select doc_id, case when n < 500 then 'too_short' else array_to_string(list_filter([
   case when len(pages) > 2 and len(list_filter(pages, lambda p: length(trim(p)) < 40)) > 0.25 * len(pages) then 'thin_pages' end,
+  case when len(list_filter(range(2, len(v) + 1), lambda i: v[i] < v[i - 1])) > 0 then 'section_order' end,
   case when contains(f, chr(173)) then 'soft_hyphens' end,
   case when not regexp_matches(f, '(?m)^#{1,6}\\s') and not (contains(f, '<table') and length(f) < 8000) then 'no_headings' end], lambda x: x is not null), ',') end as warnings
 from q
 """)
 def q_doc_quality_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Warnings about every text, the order of sections left out (see q_inversions)."""
+    """Warnings about every text."""
     got = table(spark, d, "documents").select("doc_id", docs.quality(F.col("text")).alias("w"))
-    return got.select("doc_id", F.array_join(F.array_remove("w", "section_order"), ",").alias("warnings"))
+    return got.select("doc_id", F.array_join("w", ",").alias("warnings"))
 
 
 @query("""

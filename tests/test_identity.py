@@ -65,13 +65,33 @@ def test_links_flags_and_seeds(spark):
 
 
 def test_pages(spark):
-    rows = [("a", 0, "p0"), ("a", 2, "p2"), ("a", 100, "far"), ("a", 2, None), (None, 1, "x"), ("b", None, "y")]
-    got = documents.assemble(spark.createDataFrame(rows, "k string, n int, t string"), "k", "n", "t").orderBy("chunk_no").collect()
-    assert [(r.chunk_no, r.first_page, r.n_pages, r.text) for r in got] == [(0, 0, 3, "p0\f\f\np2"), (1, 100, 1, "far")]
+    rows = [("a", 0, 1, "p0"), ("a", 2, 3, "z"), ("a", 2, 2, "p2\u00ad"), ("a", 5, 4, "far"), ("a", 2, 9, None), ("a", None, 0, "first"), (None, 1, 1, "x"), ("b", 7, 1, ""), ("c", -1, 1, "c")]
+    df = spark.createDataFrame(rows, "k string, n int, o int, t string")
+    whole = "first\n\np0\n\f\n\fp2\n\nz\n\f\n\f\n\ffar\n"
+    for chunk in (1, 2, 3, 100):
+        got = documents.assemble(df, "k", "n", "o", "t", chunk).orderBy("k", "chunk_no").collect()
+        text = {k: "\f".join(r.text for r in got if r.k == k) for k in ("a", "c")}
+        assert text == {"a": whole, "c": "c\n"} and {r.k for r in got} == {"a", "c"}
+        assert sum(r.n_pages for r in got if r.k == "a") == 6
+    two = spark.createDataFrame([("d", 0, 1, "x"), ("d", 2, 2, "y")], "k string, n int, o int, t string")
+    assert documents.assemble(two, "k", "n", "o", "t").first().text == "x\n\f\n\fy\n"  # the middle page a bare line feed
     back = documents.pages_of(spark.createDataFrame([(1, "a\fb\fc"), (2, None)], "i int, t string"), "i", "t", 2).collect()
     assert [(r.page_no, r.text) for r in back] == [(0, "a"), (1, "b")]
 
 
+def test_rendered_blocks(spark):
+    names = "type text text_level list_items table_caption table_body table_footnote image_caption image_footnote content".split()
+    kind = "type string, text string, text_level int, list_items array<string>, table_caption array<string>, table_body string, table_footnote array<string>, image_caption array<string>, image_footnote array<string>, content string"
+    cases = [
+        (dict(type="text", text=" One "), 0, "One"), (dict(type="text", text="Head", text_level=1), 3, "## Head"), (dict(type="text", text="Deep", text_level=9), 3, "###### Deep"), (dict(type="text"), 0, ""),
+        (dict(type="list", list_items=[" a ", "", "b"]), 0, "a\nb"), (dict(type="list", text="t"), 0, "t"), (dict(type="table", table_caption=["T1", " "], table_body=" <t> ", table_footnote=["n"]), 0, "T1\n\n<t>\n\nn"),
+        (dict(type="image", image_caption=["F1"], content="c"), 0, "F1\n\nc"), (dict(type="header", text="Journal"), 0, "Journal"), (dict(type="header", text="Journal"), 1, ""),
+        (dict(type="footer", text="10.1234/x"), 4, "10.1234/x"), (dict(type="page_number", text="7"), 0, ""), (dict(type="page_footnote", text="n"), 2, "n"),
+    ]
+    df = spark.createDataFrame([(tuple(c.get(n) for n in names), p, w) for c, p, w in cases], f"b struct<{kind.replace(' string', ':string').replace(' int', ':int').replace(' array', ':array')}>, p int, w string")
+    assert all(r.got == r.w for r in df.select("w", documents.rendered(F.col("b"), F.col("p")).alias("got")).collect())
+
+
 def test_quality(spark):
     good = "# One\n" + "1.1 First part of it\n" + "word " * 200 + "\n1.2 Second part"
     df = spark.createDataFrame([(good,), (good.replace("1.2 S", "1.0 S"),), ("short",), (None,), ("word " * 200,)], "t string")

@@ -165,10 +165,31 @@ def test_hierarchy_odd_input(spark):
 # ---- flat tables ----------------------------------------------------------------------------
 
 
+LEDGER = "k string, o int, run string, verdict string, criterion string, parked_class string"
+
+
 def test_ledger_history(spark):
-    df = spark.createDataFrame([("k", 1, "r1", "relevant", None), ("k", 2, "r1", "relevant", None), ("k", 3, "r2", "not_relevant", "E9"), (None, 1, "r", "x", None)], "k string, seq0 int, run string, verdict string, criterion string")
-    got = rel.current_with_history(df, "k", ["seq0"], ["run", "verdict", "criterion"]).collect()
-    assert len(got) == 1 and got[0].run == "r2" and got[0].n_replaced == 1 and [tuple(h) for h in got[0].history] == [("r1", "relevant", None)]
+    data = [("k", 1, "r1", "relevant", None, None), ("k", 2, "r1", "relevant", None, None), ("k", 3, "r2", None, "E1", None), ("k", 4, "r2", "not_relevant", "E9", None), (None, 1, "r", "x", None, None), ("m", 1, "r", "x", "E9", "own"), ("n", 1, "r", "", None, None)]
+    df = spark.createDataFrame(data, LEDGER)
+    state = ["run", "verdict", "criterion"]
+    led = rel.record_verdicts(df, "k", ["o"], state, "verdict", {"E9": "parked"})
+    assert {r.k: (r.run, r.verdict, r.criterion, r.parked_class, r.n_replaced) for r in led.collect()} == {"k": ("r2", "not_relevant", "E9", "parked", 1), "m": ("r", "x", "E9", "own", 0)}
+    assert tuple(rel.upsert_counts(led).first()) == (2, 1)
+    assert [tuple(r) for r in rel.superseded(df.where("verdict is not null"), "k", ["o"], state).collect()] == [("k", 1, "r1", "relevant", None)]
+    assert rel.record_verdicts(df.limit(0), "k", ["o"], state, "verdict", {}).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_history_of_a_hot_key_is_split(spark, partitions):
+    rnd = random.Random(8)
+    data = [("hot" if rnd.random() < 0.6 else f"k{rnd.randint(0, 5)}", i, None, rnd.choice("abc"), None, None) for i in range(400)]
+    got = {}
+    for r in rel.state_changes(spark.createDataFrame(data, LEDGER), "k", ["o"], ["verdict"], partitions).collect():
+        got.setdefault(r.k, []).append((r.seq, r.o, r.verdict, r.last))
+    for k in {x[0] for x in data}:
+        own = [(o, v) for q, o, _, v, _, _ in data if q == k]
+        steps = [x for i, x in enumerate(own) if i == 0 or own[i - 1][1] != x[1]]
+        assert sorted(got[k]) == [(i + 1, o, v, i == len(steps) - 1) for i, (o, v) in enumerate(steps)]
 
 
 def test_merge_sources(spark):
@@ -290,7 +311,10 @@ def test_rulings_and_reporting(spark):
     assert facts.compare(fixed, b, "record_id").where("not agree and exposure_no is not null").count() == 0
     assert fixed.count() == 3
     got = {r.leaf: (r.applicable, r.share) for r in facts.reporting(a).collect()}
-    assert got["fundamental_frequency_khz"] == (2, 0.0) and got["timing.duty_cycle_pct"] == (0, None)
+    assert got["fundamental_frequency_khz"] == (2, 1.0) and got["timing.duty_cycle_pct"] == (0, None) and not any(k.startswith("unspecified") for k in got)
+    four = [("value", [1.0], False), ("value", [2.0], False), ("not_reported", None, False), ("na", None, False)]
+    c = spark.createDataFrame([(1, 1, [("x", None, None, m, None, None, None, None) for m in four], None)], PAPERS)
+    assert [(r.applicable, r.not_reported, r.share) for r in facts.reporting(c).where("leaf = 'fundamental_frequency_khz'").collect()] == [(3, 1, 0.667)]
     assert facts.checks(a).count() == 2 and facts.block_discipline(a).count() > 0
 
 
