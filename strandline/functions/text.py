@@ -241,6 +241,18 @@ def journal_key(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "^the ", ""), "&", "and")
 
 
+# Spellings that are folded on reading.
+SPELLINGS = {"anesthetised": "anaesthetised", "anesthetized": "anaesthetised", "anaesthetized": "anaesthetised"}
+
+
+def spelled(c: Column) -> Column:
+    """A vocabulary term in the vocabulary's own spelling."""
+    got = c
+    for other, own in SPELLINGS.items():
+        got = F.when(c == other, own).otherwise(got)
+    return got
+
+
 def same_name_parts(a: Column, b: Column) -> Column:
     """Two stems with the same parts in any order."""
     parts = lambda c: F.array_sort(F.array_distinct(F.split(F.lower(c), "_")))

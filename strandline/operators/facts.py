@@ -137,16 +137,17 @@ def set_at(df: DataFrame, changes: DataFrame, key: str = "record_id") -> DataFra
             k = F.concat(i.cast("string"), F.lit(f"|{path}"))
             return F.when(F.coalesce(F.map_contains_key("_m", k), F.lit(False)), F.element_at("_m", k)).otherwise(old)
 
+        got = x  # fields are read from x, else every step would repeat those before it
         for b, names in BLOCKS.items():
             if b == "exposure":
                 for n in names:
-                    x = x.withField(n, pick(n, x[n]))
+                    got = got.withField(n, pick(n, x[n]))
             else:
                 inner = x[b]
                 for n in names:
                     inner = inner.withField(n, pick(f"{b}.{n}", x[b][n]))
-                x = x.withField(b, inner)
-        return x
+                got = got.withField(b, inner)
+        return got
 
     return df.join(per, key, "left").withColumn("exposures", F.when(F.col("_m").isNull(), F.col("exposures")).otherwise(F.transform("exposures", lambda x, i: F.when(x.isNotNull(), rewrite(x, i))))).drop("_m")
 

@@ -139,3 +139,24 @@ def terms_found(targets: DataFrame, papers: DataFrame) -> DataFrame:
     listed = resolve(targets, paths=False).select(F.col("id").alias("term_id"), "root_id", "depth", "state")
     odd = unlisted(used_terms(papers), targets).select(F.col("term").alias("term_id"), F.lit("").alias("root_id"), F.lit(-1).alias("depth"), F.lit("unlisted").alias("state"))
     return listed.unionByName(odd)
+
+
+def top_level(paths: DataFrame, markers: DataFrame) -> DataFrame:
+    """(id, top): the first node up from a term whose parent is a marker or that has no parent; the
+    root if no parent is one. ``paths(id, path)`` from the root down, ``markers(id)``."""
+    steps = paths.select("id", F.posexplode(F.reverse("path")).alias("i", "node"), F.col("path")).withColumn("parent", F.get("path", F.size("path") - F.col("i") - 2))
+    steps = steps.select("id", "i", "node", F.when(F.col("i") < F.size("path") - 1, F.col("parent")).alias("parent"))
+    marked = markers.select(F.col("id").alias("parent"), F.lit(True).alias("_m")).distinct()
+    hit = steps.join(marked, "parent", "left").where(F.col("parent").isNull() | F.col("_m"))
+    return hit.groupBy("id").agg(F.min(F.struct("i", "node")).alias("t")).select("id", F.col("t.node").alias("top"))
+
+
+def listing(paths: DataFrame, labels: DataFrame, names: str = "synonyms", most: int = 6) -> DataFrame:
+    """(pos, line): the tree depth-first, two spaces a level, with up to ``most`` names in brackets.
+    ``paths(id, depth, path)`` order the lines; ``labels(id, names)``, the smallest list of an id."""
+    from strandline.operators.relational import numbered
+
+    known = labels.where("id is not null").groupBy("id").agg(F.min(names).alias("_n"))
+    some = F.slice(F.coalesce("_n", F.array().cast("array<string>")), 1, most)
+    line = F.concat(F.repeat(F.lit("  "), F.col("depth")), F.col("id"), F.when(F.size(some) > 0, F.concat(F.lit("  ("), F.array_join(some, ", "), F.lit(")"))).otherwise(""))
+    return numbered(paths.join(known, "id", "left").select("path", line.alias("line")), [F.col("path")]).select("pos", "line")

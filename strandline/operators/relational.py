@@ -231,22 +231,61 @@ def signals(df: DataFrame, rules: Sequence[tuple[str, Column]], keep: Sequence[s
     return df.select(*keep, F.explode(hits).alias("signal"))
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, key: str, identity: str, compare: Sequence[str]) -> DataFrame:
-    """(key, change) between two versions: added, removed, renamed (the identity lives on under
-    another key), corrected (a compared column differs; nulls are equal) or same."""
+def snapshot_diff(old: DataFrame, new: DataFrame, key: str, identity: str, compare: Sequence[str], absorbed: DataFrame | None = None) -> DataFrame:
+    """(key, change, now) between two versions.
+
+    A key that is gone is "renamed" if its identity lives on under another key, "merged" if
+    ``absorbed(identity, key)`` names a held key that took it in, else "removed"; ``now`` is that other
+    key. A key that is new is "added", unless something was renamed to or merged into it: that is
+    told once, with the key that is gone. Of the others those are "corrected" of which a compared
+    column differs (nulls are equal), the rest "same".
+    """
     s = lambda d: d.select(key, F.col(identity).alias("_i"), F.struct(*compare).alias("_v"))
     a, b = s(old), s(new)
-    both = a.select(key, F.col("_i").alias("_ia"), F.col("_v").alias("_va"), F.lit(True).alias("_a")).join(b.select(key, F.col("_i").alias("_ib"), F.col("_v").alias("_vb"), F.lit(True).alias("_b")), key, "full_outer")
-    old_ids = a.where("_i is not null").select(F.col("_i").alias("_ib"), F.col(key).alias("_k1")).groupBy("_ib").agg(F.min("_k1").alias("_k1"))
-    new_ids = b.where("_i is not null").select(F.col("_i").alias("_ia"), F.col(key).alias("_k2")).groupBy("_ia").agg(F.min("_k2").alias("_k2"))
-    got = both.join(old_ids, "_ib", "left").join(new_ids, "_ia", "left")
-    change = (
-        F.when(F.col("_a").isNull(), F.when(F.col("_k1").isNotNull(), "renamed").otherwise("added"))
-        .when(F.col("_b").isNull(), F.when(F.col("_k2").isNotNull(), "renamed").otherwise("removed"))
-        .when(~F.col("_va").eqNullSafe(F.col("_vb")), "corrected")
-        .otherwise("same")
-    )
-    return got.select(key, change.alias("change"))
+    both = a.select(key, F.col("_i").alias("_ia"), F.col("_v").alias("_va"), F.lit(True).alias("_a")).join(b.select(key, F.col("_v").alias("_vb"), F.lit(True).alias("_b")), key, "full_outer")
+    lives = b.where("_i is not null").groupBy(F.col("_i").alias("_ia")).agg(F.min(key).alias("_k1"))
+    gone = both.where("_b is null").join(lives, "_ia", "left")
+    if absorbed is None:
+        gone = gone.withColumn("_k2", F.lit(None).cast(old.schema[key].dataType))
+    else:
+        held = absorbed.where("identity is not null").join(new.select(key).distinct(), key).groupBy(F.col("identity").alias("_ia")).agg(F.min(key).alias("_k2"))
+        gone = gone.join(held, "_ia", "left")
+    gone = gone.select(key, F.when(F.col("_k1").isNotNull(), "renamed").when(F.col("_k2").isNotNull(), "merged").otherwise("removed").alias("change"), F.coalesce("_k1", "_k2").alias("now"))
+    took = gone.where("now is not null").select(F.col("now").alias(key)).distinct()
+    added = both.where("_a is null").join(took, key, "left_anti").select(key, F.lit("added").alias("change"), F.col(key).alias("now"))
+    kept = both.where("_a and _b").select(key, F.when(F.col("_va").eqNullSafe(F.col("_vb")), "same").otherwise("corrected").alias("change"), F.col(key).alias("now"))
+    return gone.unionByName(added).unionByName(kept)
+
+
+def misses(wanted: DataFrame, got: DataFrame, key: str) -> DataFrame:
+    """The wanted keys that were not found, once each."""
+    return wanted.where(F.col(key).isNotNull()).select(key).distinct().join(got.select(key), key, "left_anti")
+
+
+def ranked_within(df: DataFrame, group: str, order: Sequence[str], name: str = "rank", partitions: int | None = None) -> DataFrame:
+    """Position from 1 of every row within its group. Rows are numbered over range partitions, so a
+    group of any size is split; null groups are left out."""
+    rows = numbered(df.where(F.col(group).isNotNull()), [F.col(group), *[F.col(o) for o in order]], "_pos", partitions)
+    first = rows.groupBy(group).agg(F.min("_pos").alias("_first"))
+    return rows.join(first, group).withColumn(name, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first")
+
+
+def allocated_names(files: DataFrame, name: str, content: str, order: str) -> DataFrame:
+    """(name, content, target): a name for every different content that claims one: the first has
+    the name itself, the next ``_2``, ``_3`` and so on before the ending; equal content is one file."""
+    one = files.where(F.col(name).isNotNull() & F.col(content).isNotNull()).groupBy(name, content).agg(F.min(order).alias("_first_seen"))
+    got = ranked_within(one, name, ["_first_seen", content], "_n")
+    stem, ending = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 2)
+    return got.select(name, content, F.when(F.col("_n") == 1, F.col(name)).otherwise(F.concat(stem, F.lit("_"), F.col("_n").cast("string"), ending)).alias("target"))
+
+
+def retry_memory(events: DataFrame, key: str, order: Sequence[str], failed: Column) -> DataFrame:
+    """(key, failing, n_failures): is the last attempt a failure, and how many failures there are since
+    the last success. Two map-side aggregates; no window over a key."""
+    rows = events.where(F.col(key).isNotNull()).select(key, F.struct(*order).alias("_o"), F.coalesce(failed, F.lit(False)).alias("_f"))
+    ok = rows.where(~F.col("_f")).groupBy(key).agg(F.max("_o").alias("_s"))
+    got = rows.join(ok, key, "left").groupBy(key).agg(F.count_if(F.col("_f") & (F.col("_s").isNull() | (F.col("_o") > F.col("_s")))).alias("n_failures"))
+    return got.select(key, (F.col("n_failures") > 0).alias("failing"), "n_failures")
 
 
 def first_fit_decreasing(sizes: Sequence[int], capacity: int) -> list[int]:

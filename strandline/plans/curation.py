@@ -201,20 +201,22 @@ def versions(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return rel.last_wins(old, "citekey", ["load_id", "record_id"]), rel.last_wins(p, "citekey", ["load_id", "record_id"])
 
 
+_ABSORBED = "ab as (select lower(trim(preprint.doi)) as identity, min(citekey) as citekey from manifest where preprint.doi is not null and citekey in (select citekey from new) group by 1)"
+
+
 @query(f"""
-with {_VERSIONS}, j as (
-  select coalesce(o.citekey, n.citekey) as citekey, o.citekey is null as isnew, n.citekey is null as gone, o.doi as d1, n.doi as d2,
-    (o.n_subjects is distinct from n.n_subjects or o.species is distinct from n.species or o.conditions is distinct from n.conditions) as differs
-  from old o full join new n on o.citekey = n.citekey
-)
-select case when isnew then case when d2 in (select doi from old where doi is not null) then 'renamed' else 'added' end
-  when gone then case when d1 in (select doi from new where doi is not null) then 'renamed' else 'removed' end when differs then 'corrected' else 'same' end as change, count(*) as n
-from j group by 1
+with {_VERSIONS}, {_ABSORBED}, lives as (select lower(trim(doi)) as i, min(citekey) as k from new where doi is not null group by 1),
+gone as (select o.citekey, lives.k as k1, ab.citekey as k2 from old o left join lives on lives.i = lower(trim(o.doi)) left join ab on ab.identity = lower(trim(o.doi)) where o.citekey not in (select citekey from new)),
+g as (select citekey, case when k1 is not null then 'renamed' when k2 is not null then 'merged' else 'removed' end as change, coalesce(k1, k2) as now from gone),
+kept as (select n.citekey, case when o.n_subjects is distinct from n.n_subjects or o.species is distinct from n.species or o.conditions is distinct from n.conditions then 'corrected' else 'same' end as change from old o join new n using (citekey))
+select change, count(*) as n from (select change from g union all select change from kept
+  union all select 'added' from new where citekey not in (select citekey from old) and citekey not in (select now from g where now is not null)) group by change
 """)
 def q_snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
-    """Two versions of the records, classified and counted."""
-    old, new = versions(spark, d)
-    return rel.snapshot_diff(old, new, "citekey", "doi", ["n_subjects", "species", "conditions"]).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
+    """Two versions of the records, classified and counted; a rename or merge counts once."""
+    old, new = (v.withColumn("doi", F.lower(F.trim("doi"))) for v in versions(spark, d))
+    absorbed = table(spark, d, "manifest").select(F.lower(F.trim("preprint.doi")).alias("identity"), "citekey")
+    return rel.snapshot_diff(old, new, "citekey", "doi", ["n_subjects", "species", "conditions"], absorbed).groupBy("change").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"with {_VERSIONS} select citekey, record_id, 'new' as side from new union all select citekey, record_id, 'prior' from old where citekey not in (select citekey from new)")
@@ -350,3 +352,81 @@ def q_vocab_tail(spark: SparkSession, d: str) -> DataFrame:
     n = t.groupBy("term").agg(F.count(F.lit(1)).alias("n_brands")).where("n_brands >= 3")
     low = t.withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy("p_brand"))).where("r <= 4")
     return n.join(low.groupBy("term").agg(F.array_join(F.array_sort(F.collect_list("p_brand")), ",").alias("examples")), "term")
+
+
+@query(f"with {_LEDGER} select distinct {_BARE} as k from manifest where {_BARE} is not null and {_BARE} not in (select k from l)")
+def q_recall_misses(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest's keys that the ledger lacks."""
+    m = table(spark, d, "manifest").select(keys.bare_key(F.col("doi")).alias("k"))
+    return rel.misses(m, ledger(spark, d).where("k is not null"), "k")
+
+
+@query(f"""
+with {_LEDGER}, dec as (select k from l union select {_BARE} from papers union select lower(trim(preprint.doi)) from manifest where preprint.doi is not null)
+select entry_id from (select entry_id, {_BARE} as k from manifest) where k is null or k not in (select k from dec where k is not null)
+""")
+def q_undecided(spark: SparkSession, d: str) -> DataFrame:
+    """Entries whose key is in none of three sets: judged, extracted, held as a preprint."""
+    m = table(spark, d, "manifest")
+    sets = [ledger(spark, d).select("k"), table(spark, d, "papers").select(keys.bare_key(F.col("doi")).alias("k")), m.select(F.lower(F.trim("preprint.doi")).alias("k"))]
+    decided = reduce(DataFrame.unionByName, sets).where("k is not null").distinct()
+    return m.select("entry_id", keys.bare_key(F.col("doi")).alias("k")).join(decided, "k", "left_anti").select("entry_id")
+
+
+@query(f"""
+with {_LEDGER}, v as (select k, arg_max(lower(trim(verdict)), (received_at is not null, received_at, ledger_id)) as v from l where length(trim(verdict)) > 0 group by k), m as (select entry_id, {_BARE} as k from manifest)
+select part, count(*) as n from (select case when v.v is null then 'unjudged' when v.v = 'relevant' then 'included' when v.v = 'unspecified' then 'unresolved' else 'excluded' end as part from m left join v on v.k = m.k) group by part
+""")
+def q_verdict_partition(spark: SparkSession, d: str) -> DataFrame:
+    """Entries by the last verdict on their key: included, unresolved, excluded, unjudged."""
+    last = rel.last_wins(ledger(spark, d).where("length(trim(verdict)) > 0").select("k", "received_at", "ledger_id", F.lower(F.trim("verdict")).alias("v")), "k", ["received_at", "ledger_id"]).select("k", "v")
+    got = table(spark, d, "manifest").select("entry_id", keys.bare_key(F.col("doi")).alias("k")).join(last, "k", "left")
+    part = F.when(F.col("v").isNull(), "unjudged").when(F.col("v") == "relevant", "included").when(F.col("v") == "unspecified", "unresolved").otherwise("excluded")
+    return got.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+with f as (select citekey as name, md5(text) as content, min(doc_id) as o from documents where citekey is not null and text is not null group by all),
+r as (select *, row_number() over (partition by name order by o, content) as n from f) select name, content, case when n = 1 then name else name || '_' || n end as target from r
+""")
+def q_name_allocation(spark: SparkSession, d: str) -> DataFrame:
+    """Different contents under one name get names of their own, equal ones share."""
+    f = table(spark, d, "documents").select(F.col("citekey").alias("name"), F.md5("text").alias("content"), "doc_id")
+    return rel.allocated_names(f, "name", "content", "doc_id")
+
+
+@query("""
+with o as (select user_id, max((ts, event_id)) filter (event_type <> 'error' or event_type is null) as s from events where user_id is not null group by 1)
+select e.user_id, count(*) filter (event_type = 'error' and (s is null or (ts, event_id) > s)) > 0 as failing, count(*) filter (event_type = 'error' and (s is null or (ts, event_id) > s)) as n_failures from events e join o using (user_id) group by e.user_id
+""")
+def q_retry_memory(spark: SparkSession, d: str) -> DataFrame:
+    """Failures remembered per user, cleared by the next success."""
+    return rel.retry_memory(table(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+
+
+@query("""
+with a as (select coalesce(source, '-') as source, count(distinct citekey) filter (length(trim(text)) > 80) as n_found from abstracts group by 1), w as (select count(distinct citekey) as n_declared from manifest where citekey is not null)
+select source, n_found, n_declared, n_declared - n_found as short from a, w
+""")
+def q_source_shortfall(spark: SparkSession, d: str) -> DataFrame:
+    """Keys found per source against those declared, and the difference."""
+    found = table(spark, d, "abstracts").groupBy(F.coalesce("source", F.lit("-")).alias("source")).agg(F.countDistinct(F.when(F.length(F.trim("text")) > 80, F.col("citekey"))).alias("n_found"))
+    declared = table(spark, d, "manifest").agg(F.countDistinct("citekey").alias("n_declared"))
+    return found.join(F.broadcast(declared)).withColumn("short", F.col("n_declared") - F.col("n_found"))  # one row
+
+
+@query("""
+with f as (select entry_id, citekey, files.pdf as pdf, unnest(coalesce(files.supplements, [])) as s from manifest), n as (
+  select 'paper' as kind, entry_id, files.pdf as src, citekey || '.pdf' as dst from manifest where files.pdf is not null
+  union all select 'supplement', entry_id, s, citekey || '_supp.pdf' from f where s is not null),
+r as (select *, row_number() over (partition by dst order by kind, entry_id, src) as k from n)
+select kind, entry_id, src, case when dst is null or k = 1 then dst else replace(dst, '.pdf', '_' || k || '.pdf') end as dst from r
+""")
+def q_move_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Where every file of an entry belongs; files that claim one name are numbered."""
+    m = table(spark, d, "manifest")
+    row = lambda df, kind, src, end: df.select(F.lit(kind).alias("kind"), "entry_id", F.col(src).alias("src"), F.concat("citekey", F.lit(end)).alias("dst"))
+    every = row(m.where("files.pdf is not null"), "paper", "files.pdf", ".pdf").unionByName(row(m.select("entry_id", "citekey", F.explode("files.supplements").alias("s")).where("s is not null"), "supplement", "s", "_supp.pdf"))
+    got = rel.ranked_within(every, "dst", ["kind", "entry_id", "src"], "k")
+    got = got.withColumn("dst", F.when(F.col("k") == 1, F.col("dst")).otherwise(F.replace("dst", F.lit(".pdf"), F.concat(F.lit("_"), F.col("k").cast("string"), F.lit(".pdf"))))).drop("k")
+    return got.unionByName(every.where("dst is null"))

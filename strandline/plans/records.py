@@ -69,7 +69,19 @@ def p5_descendants(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.descendants(hierarchy.resolve(table(spark, d, "targets")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_values, p1_exposures, p1_terms, p1_records, p3_found, p3_profile, p5_found, p5_paths, p5_descendants)}
+def q_top_level(spark: SparkSession, d: str) -> DataFrame:
+    """Terms rolled up to the level below the roots."""
+    got = hierarchy.resolve(table(spark, d, "targets")).where("state = 'ok'")
+    return hierarchy.top_level(got.select("id", "path"), got.where("depth = 0").select("id"))
+
+
+def q_tree_listing(spark: SparkSession, d: str) -> DataFrame:
+    """The vocabulary's trees as indented lines."""
+    targets = table(spark, d, "targets")
+    return hierarchy.listing(hierarchy.resolve(targets).where("state = 'ok'"), targets)
+
+
+QUERIES = {f.__name__: f for f in (q_top_level, q_tree_listing, p1_found, p1_values, p1_exposures, p1_terms, p1_records, p3_found, p3_profile, p5_found, p5_paths, p5_descendants)}
 
 _CELLS = ", ".join(f"('{b}', '{m}')" for b, ms in nested.BLOCKS.items() for m in ms)
 _TYPED = "\n    union all ".join(
@@ -221,6 +233,10 @@ ORACLES = {
     "p5_descendants": _WALK + "select cur as ancestor, up.id as descendant, n as distance from up join found on found.id = up.id where n between 1 and depth",
     "p5_paths": _WALK + """, pairs as (select cur as ancestor, up.id as id, n from up join found on found.id = up.id where n between 0 and depth)
     select id, root_id, depth, state, (select string_agg(ancestor, ' > ' order by n desc) from pairs where pairs.id = found.id) as path, (select count(*) from pairs where pairs.ancestor = found.id and n > 0) as n_descendants from found""",
+    "q_top_level": _WALK + "select up.id, cur as top from up join found on found.id = up.id where state = 'ok' and n = greatest(depth - 1, 0)",
+    "q_tree_listing": _WALK + """, p as (select up.id, list(cur order by n desc) as path, any_value(depth) as depth from up join found on found.id = up.id where state = 'ok' and n <= depth group by up.id),
+    s as (select id, min(synonyms) as s from targets where id is not null group by id)
+    select row_number() over (order by path) as pos, repeat('  ', depth) || p.id || case when len(s.s) > 0 then '  (' || array_to_string(s.s[1:6], ', ') || ')' else '' end as line from p left join s using (id)""",
     "p3_found": _PROFILE
     + """select cast(load_id as int) as load_id, field, issue from (
       select load_id, field, unnest([
