@@ -207,9 +207,17 @@ def prefix_corroborated(title: Column, text: Column, n: int = 40) -> Column:
     return F.contains(title_key(text), F.substring(title_key(title), 1, n)) & (title_key(title) != "")
 
 
-def word_bag(c: Column) -> Column:
-    """Lower-case words of three letters or more, repeats kept."""
-    return F.regexp_extract_all(F.lower(c), F.lit("([a-z]{3,})"), 1)
+# Words that a bag of words leaves out.
+BAG_STOP_WORDS = (
+    "the", "a", "an", "of", "in", "on", "and", "for", "with", "to", "by", "from", "using", "via", "as", "at",
+    "is", "are", "its", "into", "we", "our", "this", "that", "were", "was", "be",
+)
+
+
+def word_bag(c: Column, but: tuple[str, ...] = ()) -> Column:
+    """Lower-case words of three letters or more, repeats kept, without those of ``but``."""
+    words = F.regexp_extract_all(F.lower(c), F.lit("([a-z]{3,})"), 1)
+    return F.filter(words, lambda w: ~w.isin(*but)) if but else words
 
 
 def surname(c: Column) -> Column:
@@ -253,12 +261,46 @@ def spelled(c: Column) -> Column:
     return got
 
 
+# File stems in the present and in the former order of year and author.
+PRESENT_NAME = r"^([0-9]{4}|nd)_[A-Za-z'-]+_.+$"
+FORMER_NAME = r"^([A-Za-z][A-Za-z'-]*)_([0-9]{4}|nd)_(.+)$"
+
+
+def name_scheme(stem: Column) -> Column:
+    """"new" for year_author_title, "old" for author_year_title, else "other"."""
+    return F.when(stem.rlike(PRESENT_NAME), "new").when(stem.rlike(FORMER_NAME), "old").otherwise("other")
+
+
+def present_stem(stem: Column) -> Column:
+    """A stem in the present order of its parts, null if it has no known order."""
+    return F.when(stem.rlike(PRESENT_NAME), stem).when(stem.rlike(FORMER_NAME), F.regexp_replace(stem, FORMER_NAME, r"$2_$1_$3"))
+
+
+def first_author(family: Column, file: Column) -> Column:
+    """Slug of the first author's family name, else of the word that begins the file name, else
+    "anon"."""
+    from_file = F.regexp_extract(file, r"^(?:[0-9]{4} - )?([A-Za-z][A-Za-z'-]+)", 1)
+    return F.coalesce(F.nullif(name_slug(family), F.lit("")), F.nullif(name_slug(from_file), F.lit("")), F.lit("anon"))
+
+
+def safe_stem(first: Column, year: Column, title: Column, key: Column) -> Column:
+    """Stem for a download: author, year and short title; without an author the end of the key."""
+    tail = F.substring(F.regexp_replace(F.lower(F.element_at(F.split(key, "/"), -1)), "[^a-z0-9]", ""), 1, 12)
+    who = F.coalesce(F.nullif(F.trim(first), F.lit("")), F.nullif(tail, F.lit("")), F.lit("paper"))
+    return F.concat_ws("_", F.initcap(name_slug(who)), F.coalesce(year.cast("string"), F.lit("nd")), compact_title(F.coalesce(F.nullif(title, F.lit("")), F.lit("Untitled"))))
+
+
 def same_name_parts(a: Column, b: Column) -> Column:
     """Two stems with the same parts in any order."""
     parts = lambda c: F.array_sort(F.array_distinct(F.split(F.lower(c), "_")))
     return parts(a) == parts(b)
 
 
+def authors_all(authors: Column) -> Column:
+    """All authors STRUCT<family, given>, "Family, Given" each, joined by semicolons."""
+    return F.array_join(F.transform(authors, lambda a: F.concat_ws(", ", a.family, a.given)), "; ")
+
+
 def authors_short(families: Column) -> Column:
     """One or two names, or the first with "et al."; null for none."""
     n = F.size(families)

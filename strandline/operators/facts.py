@@ -75,16 +75,19 @@ def flat(papers: DataFrame, manifest: DataFrame, closure: DataFrame) -> DataFram
     ``closure(id, path)`` has the path from the root of every term; terms are joined one row
     each and folded back by set union, so the vocabulary is never collected.
     """
-    base = exposures(papers, "record_id", "citekey")
-    terms = base.select("record_id", "exposure_no", F.explode("x.target.terms").alias("id")).where("id is not null")
-    up = terms.join(closure.select("id", "path"), "id", "left").select("record_id", "exposure_no", F.explode(F.coalesce("path", F.array("id"))).alias("t")).distinct()
-    both = up.groupBy("record_id", "exposure_no").agg(F.array_sort(F.collect_list("t")).alias("target_all"))  # as many as one exposure has ancestors
-    m = manifest.where("citekey is not null").groupBy("citekey").agg(F.min(F.struct("entry_id", "title", "year")).alias("b"))
-    got = base.join(both, ["record_id", "exposure_no"], "left").join(m, "citekey", "left")
     x = F.col("x")
     sums = [ms.summary(at(x, p)).alias(p.replace(".", "_")) for p in LEAVES]
     lists = F.array_compact(F.array(*[F.when(ms.swept(at(x, p)), F.lit(p)) for p in LEAVES]))
-    return got.select("record_id", "exposure_no", "citekey", F.col("b.title").alias("title"), F.col("b.year").alias("year"), F.col("x.label").alias("label"), F.coalesce("target_all", F.array().cast("array<string>")).alias("target_all"), *sums, lists.alias("swept"))
+    # Only the finished columns travel; a term that many exposures have is joined once.
+    base = exposures(papers, "record_id", "citekey")
+    rows = base.select("record_id", "exposure_no", "citekey", F.col("x.label").alias("label"), *sums, lists.alias("swept"))
+    terms = base.select("record_id", "exposure_no", F.explode("x.target.terms").alias("id")).where("id is not null").distinct()
+    known = terms.select("id").distinct().join(closure.select("id", "path"), "id")
+    up = terms.join(known, "id", "left").select("record_id", "exposure_no", F.coalesce("path", F.array("id")).alias("p"))
+    both = up.groupBy("record_id", "exposure_no").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("p")))).alias("target_all"))  # as many as one exposure has ancestors
+    m = manifest.where("citekey is not null").groupBy("citekey").agg(F.min(F.struct("entry_id", "title", "year")).alias("b"))
+    got = rows.join(both, ["record_id", "exposure_no"], "left").join(m, "citekey", "left")
+    return got.select("record_id", "exposure_no", "citekey", F.col("b.title").alias("title"), F.col("b.year").alias("year"), "label", F.coalesce("target_all", F.array().cast("array<string>")).alias("target_all"), *[p.replace(".", "_") for p in LEAVES], "swept")
 
 
 def checks(papers: DataFrame) -> DataFrame:

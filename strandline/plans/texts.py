@@ -26,16 +26,16 @@ def q_title_key(spark: SparkSession, d: str) -> DataFrame:
 _STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 
 
-@query(f"""
-with w as (select entry_id, regexp_extract_all(strip_accents(title), '[A-Za-z0-9]+') as ws from manifest where title is not null and not (upper(strip_accents(title)) = strip_accents(title) and regexp_matches(title, '[A-Z]'))),
-k as (select entry_id, case when len(list_filter(ws, lambda x: lower(x) not in ({_STOP}))) > 0 then list_filter(ws, lambda x: lower(x) not in ({_STOP})) else ws end[1:8] as ws from w)
-select entry_id, array_to_string(list_transform(ws, lambda x: case when upper(x) = x and regexp_matches(x, '[A-Z]') and length(x) <= 6 then x else upper(x[1]) || x[2:] end), '') as compact from k
-""")
+_WORDS = "regexp_extract_all(strip_accents(title), '[A-Za-z0-9]+')"
+_CASED = f"(case when upper(strip_accents(title)) = strip_accents(title) and regexp_matches(strip_accents(title), '[A-Z]') then list_transform({_WORDS}, lambda x: upper(x[1]) || lower(x[2:])) else {_WORDS} end)"
+_KEPT = f"(case when len(list_filter({_CASED}, lambda x: lower(x) not in ({_STOP}))) > 0 then list_filter({_CASED}, lambda x: lower(x) not in ({_STOP})) else {_CASED} end)[1:8]"
+_COMPACT = f"array_to_string(list_transform({_KEPT}, lambda x: case when upper(x) = x and regexp_matches(x, '[A-Z]') and length(x) <= 6 then x else upper(x[1]) || x[2:] end), '')"
+
+
+@query(f"select entry_id, {_COMPACT} as compact from manifest where title is not null")
 def q_compact_title(spark: SparkSession, d: str) -> DataFrame:
-    """CamelCase short titles, of titles that are not all in capitals."""
-    t = F.col("title")
-    caps = (F.upper(text.strip_accents(t)) == text.strip_accents(t)) & t.rlike("[A-Z]")
-    return table(spark, d, "manifest").where(t.isNotNull() & ~caps).select("entry_id", text.compact_title(t).alias("compact"))
+    """CamelCase short titles; those all in capitals are set in title case first."""
+    return table(spark, d, "manifest").where("title is not null").select("entry_id", text.compact_title(F.col("title")).alias("compact"))
 
 
 @query("""
@@ -72,12 +72,12 @@ def q_html_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""
 with w as (select lang, unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) as word from documents where lang is not null and text is not null),
-c as (select lang, word, count(*) as n from w group by all)
+c as (select lang, word, count(*) as n from w where word not in (STOP) group by all)
 select lang, word, n from (select *, row_number() over (partition by lang order by n desc, word) as r from c) where r <= 20
-""")
+""".replace("STOP", ", ".join(f"'{w}'" for w in text.BAG_STOP_WORDS)))
 def q_word_bag(spark: SparkSession, d: str) -> DataFrame:
-    """The 20 most frequent words per label."""
-    w = table(spark, d, "documents").where("lang is not null").select("lang", F.explode(text.word_bag(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    """The 20 most frequent words per label, stop words left out."""
+    w = table(spark, d, "documents").where("lang is not null").select("lang", F.explode(text.word_bag(F.col("text"), text.BAG_STOP_WORDS)).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     return w.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where("r <= 20").drop("r")
 
 
