@@ -30,15 +30,23 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+def forget_at_end(spark: SparkSession, path: str) -> None:
+    """Has the file system delete ``path`` when the application ends."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def cut(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Ends the lineage: a lost executor costs a re-read, not a recomputation, and
-    non-deterministic columns (partition numbers) are frozen. Evaluates ``df`` once.
+    non-deterministic columns (partition numbers) are frozen. Evaluates ``df`` once. The
+    folder is deleted when the application ends.
     """
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"cut-{uuid.uuid4().hex}")
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
+    forget_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

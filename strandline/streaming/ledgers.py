@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from strandline.session import shared_dir
+from strandline.session import forget_at_end, shared_dir
 
 CURRENT = "user_id long, event_type string, n_replaced long"
 
@@ -76,4 +76,5 @@ def drain(stream: DataFrame, mode: str) -> DataFrame:
 
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).foreachBatch(write).start()
     q.awaitTermination()
+    forget_at_end(spark, at)
     return spark.read.schema(StructType([*kind.fields, StructField("_batch", IntegerType())])).parquet(f"{at}/out")
