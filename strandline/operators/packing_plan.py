@@ -1,7 +1,7 @@
 """First fit decreasing over a histogram of sizes.
 
 Items of one size are interchangeable, so the sequential algorithm runs on at most
-``capacity`` sizes and gives, per size, which ranks go to which batches; items then take
+``capacity`` sizes (larger items take batches of their own, in order) and gives, per size, which ranks go to which batches; items then take
 their places by rank through a join. The result is that of the item-by-item algorithm with
 ties in id order.
 """
@@ -53,16 +53,20 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
     return out
 
 
-def first_fit(df: DataFrame, item: str, size: str, capacity: int, most: int = 100_000) -> DataFrame:
+def first_fit(df: DataFrame, item: str, size: str, capacity: int) -> DataFrame:
     """(item, size, batch_no). Null sizes count as 0 and sizes below 1 as 1."""
     rows = df.select(item, F.greatest(F.lit(1), F.coalesce(F.col(size), F.lit(0))).alias("_n"))
-    hist = rows.groupBy("_n").agg(F.count(F.lit(1)).alias("c")).orderBy("_n").limit(most + 1).collect()  # one row per size
-    if len(hist) > most:
-        raise ValueError(f"more than {most} different sizes")
-    steps = plan({r["_n"]: r["c"] for r in hist}, capacity)
+    hist = rows.groupBy(F.least("_n", F.lit(capacity + 1)).alias("_n")).agg(F.count(F.lit(1)).alias("c")).collect()  # at most capacity + 1 rows
+    counts = {r["_n"]: r["c"] for r in hist}
+    alone = counts.pop(capacity + 1, 0)
+    steps = plan(counts, capacity)
+    before, seen = [], alone
+    for n in sorted(counts, reverse=True):
+        before.append((n, seen))
+        seen += counts[n]
     spark = df.sparkSession
     places = spark.createDataFrame(steps, "_n long, lo long, hi long, first long, per long")
     ranks = numbered(rows, [F.desc("_n"), F.col(item)], "pos")
-    before = spark.createDataFrame([(r["_n"], sum(x["c"] for x in hist if x["_n"] > r["_n"])) for r in hist], "_n long, before long")
-    got = ranks.join(before, "_n").withColumn("rank", F.col("pos") - 1 - F.col("before")).join(places, "_n").where("rank >= lo and rank < hi")
-    return got.select(item, F.col("_n").alias(size), (F.col("first") + F.floor((F.col("rank") - F.col("lo")) / F.col("per"))).alias("batch_no"))
+    got = ranks.join(spark.createDataFrame(before, "_n long, before long"), "_n").withColumn("rank", F.col("pos") - 1 - F.col("before")).join(places, "_n").where("rank >= lo and rank < hi")
+    packed = got.select(item, F.col("_n").alias(size), (F.col("first") + alone + F.floor((F.col("rank") - F.col("lo")) / F.col("per"))).alias("batch_no"))
+    return packed.unionByName(ranks.where(F.col("_n") > capacity).select(item, F.col("_n").alias(size), (F.col("pos") - 1).alias("batch_no")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandline.functions import measures as ms
 from strandline.operators import facts, hierarchy
@@ -54,12 +55,42 @@ def q_any_domain(spark: SparkSession, d: str) -> DataFrame:
 
 
 _FACETS = ("model_system", "conditions", "sham_type", "auditory_control", "readouts")
+# Facets with one value a record, and with one an exposure.
+_SINGLE, _PER_EXPOSURE = ("direction_of_effect",), ("device.family", "timing.waveform")
 
 
-@query("select facet, value, count(*) as n from (" + " union all ".join(f"select '{f}' as facet, unnest(list_distinct(coalesce({f}, []))) as value from papers" for f in _FACETS) + ") group by all")
+@query(
+    f"with {_X}, c as ("
+    + " union all ".join(
+        [f"select '{f}' as facet, unnest(list_distinct(coalesce({f}, []))) as value from papers" for f in _FACETS]
+        + [f"select '{f}', {f} from papers" for f in _SINGLE]
+        + [f"select '{f}', x.{f} from x" for f in _PER_EXPOSURE]
+    )
+    + ") select facet, value, count(*) as n, rank() over (partition by facet order by count(*) desc, value) as rank from c where value is not null group by facet, value"
+)
 def q_composition(spark: SparkSession, d: str) -> DataFrame:
-    """Records per value of every array facet."""
-    return facts.composition(papers(spark, d), _FACETS).where("value is not null")
+    """Records, or exposures, per value of every facet, the most frequent first."""
+    p = papers(spark, d)
+    single = F.array(*[F.struct(F.lit(f).alias("facet"), F.col(f).alias("value")) for f in _SINGLE])
+    each = F.array(*[F.struct(F.lit(f).alias("facet"), facts.at(F.col("x"), f).alias("value")) for f in _PER_EXPOSURE])
+    more = p.select(F.inline(single)).unionByName(facts.exposures(p).select(F.inline(each)))
+    got = facts.composition(p, _FACETS).unionByName(more.groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))).where("value is not null")
+    return got.withColumn("rank", F.rank().over(Window.partitionBy("facet").orderBy(F.desc("n"), "value")))  # one row per value
+
+
+@query(f"with {_X} select p.record_id, exposure_no, {scalar('timing.sonication_duration_s')} as duration from x join papers p using (record_id) where x.timing.waveform = 'pulsed' and list_contains(p.model_system, 'human_healthy')")
+def q_waveform_population(spark: SparkSession, d: str) -> DataFrame:
+    """Durations of one waveform in one population."""
+    got = facts.exposures(papers(spark, d).where(F.array_contains("model_system", "human_healthy")), "record_id").where(F.col("x.timing.waveform") == "pulsed")
+    return got.select("record_id", "exposure_no", ms.scalar(F.col("x.timing.sonication_duration_s")).alias("duration"))
+
+
+@query(f"with {_X} select p.record_id, exposure_no, list_min({nums('free_field.pressure_kpa')}) as p_lo, list_max({nums('free_field.pressure_kpa')}) as p_hi from x join papers p using (record_id) where list_contains({nums('fundamental_frequency_khz')}, 500.0) and p.direction_of_effect = 'excitatory'")
+def q_exact_frequency(spark: SparkSession, d: str) -> DataFrame:
+    """Exposures at exactly one frequency, also as one of several, with an enumeration's value."""
+    got = facts.exposures(papers(spark, d).where(F.col("direction_of_effect") == "excitatory"), "record_id").where(F.array_contains(ms.numbers(F.col("x.fundamental_frequency_khz")), 500.0))
+    s = ms.summary(F.col("x.free_field.pressure_kpa"))
+    return got.select("record_id", "exposure_no", s.lo.alias("p_lo"), s.hi.alias("p_hi"))
 
 
 @query(f"with {_X} select record_id, exposure_no, len(list_filter({nums('fundamental_frequency_khz')}, lambda v: v between 480 and 520)) > 0 as any_value, list_min({nums('fundamental_frequency_khz')}) <= 520 and list_max({nums('fundamental_frequency_khz')}) >= 480 as overlap from x where len({nums('fundamental_frequency_khz')}) > 0")
@@ -189,6 +220,19 @@ def q_hier_search(spark: SparkSession, d: str) -> DataFrame:
     return per.groupBy("term_id").agg(F.sum("n").alias("n_exposures"), F.count(F.lit(1)).alias("n_records"))
 
 
+@query(f"""
+with recursive {_CLOSURE}, {_X}, t as (select distinct record_id, exposure_no from (select record_id, exposure_no, unnest(x.target.terms) as term from x) s join anc on anc.id = s.term where anc.a = 'cavoral_nerve')
+select record_id, exposure_no, p.direction_of_effect as direction, {scalar('fundamental_frequency_khz')} as f0 from t join x using (record_id, exposure_no) join papers p using (record_id) where list_has_any(p.model_system, ['rodent', 'large_animal'])
+""")
+def q_target_in_animals(spark: SparkSession, d: str) -> DataFrame:
+    """Exposures of a term or anything below it in given model systems, with parameters and effect."""
+    below = closure(spark, d).where(F.array_contains("path", "cavoral_nerve")).select("id")
+    x = facts.exposures(papers(spark, d).where(F.arrays_overlap("model_system", F.array(F.lit("rodent"), F.lit("large_animal")))), "record_id", "direction_of_effect")
+    rows = x.select("record_id", "exposure_no", F.col("direction_of_effect").alias("direction"), ms.scalar(F.col("x.fundamental_frequency_khz")).alias("f0"), "x.target.terms")
+    hit = rows.select("record_id", "exposure_no", F.explode("terms").alias("id")).join(below, "id").select("record_id", "exposure_no").distinct()
+    return rows.join(hit, ["record_id", "exposure_no"]).drop("terms")
+
+
 @query("""
 with recursive e as (select 'R' || r_regionkey as id, null as parent from region union all select 'N' || n_nationkey, 'R' || n_regionkey from nation union all select 'C' || c_custkey, 'N' || c_nationkey from customer),
 up as (select id, id as a, parent as nxt, 0 as n from e union all select up.id, e.id, e.parent, n + 1 from up join e on e.id = up.nxt)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline.functions import keys, text
 from strandline.operators import identity
 from strandline.plans.curation import _BARE
+from strandline.plans.exposures import _LEAVES, _X
 from strandline.plans.registry import Registry
 from strandline.session import table
 
@@ -62,7 +63,13 @@ def q_coverage(spark: SparkSession, d: str) -> DataFrame:
     return got.withColumn("share", F.round(F.col("n_text") / F.col("n"), 6))
 
 
-@query()
+@query(f"""
+with {_X}, u as ({_LEAVES}), v as (select record_id, exposure_no, leaf, list_sort(coalesce(list_filter(m.vals, lambda v: v is not null and not isnan(v)), [])) as v from u),
+s as (select distinct record_id, path from (select record_id, unnest(map_keys(provenance.source_quotes)) as path, unnest(map_values(provenance.source_quotes)) as quote from papers) where quote is not null),
+c as (select v.*, s.path is not null as own from v left join s on s.record_id = v.record_id and s.path = 'exposures[' || exposure_no || '].' || leaf where len(v) > 0),
+o as (select leaf, case when own then 'own' when bool_or(own) over (partition by record_id, leaf, v) then 'inherited' else 'none' end as origin from c)
+select leaf, origin, count(*) as n from o group by all
+""")
 def q_quote_origin(spark: SparkSession, d: str) -> DataFrame:
     """Own, inherited and missing quotations per measure."""
     return identity.quote_origin(table(spark, d, "papers")).groupBy("leaf", "origin").agg(F.count(F.lit(1)).alias("n"))

@@ -298,10 +298,17 @@ def q_stream_ledger(spark: SparkSession, d: str) -> DataFrame:
     return rel.last_wins(out, "user_id", ["_batch"]).select("user_id", "event_type", "n_replaced")
 
 
-@query()
+@query("""
+with e as (select user_id, ts, case when ts <= lag(ts) over w + interval 30 minute then 0 else 1 end as new from events where ts is not null window w as (partition by user_id order by ts)),
+s as (select user_id, ts, sum(new) over (partition by user_id order by ts rows unbounded preceding) as no from e)
+select user_id, min(ts) as "start", max(ts) + interval 30 minute as "end", count(*) as n from s group by user_id, no
+""")
 def q_stream_sessions(spark: SparkSession, d: str) -> DataFrame:
-    """Session windows of a stream that its watermark has closed."""
-    return ledgers.drain(ledgers.sessions(ledgers.source(spark, d, "events")), "append").drop("_batch")
+    """Session windows of a stream at its end, those included that no later event has closed."""
+    out = ledgers.drain(ledgers.sessions(ledgers.source(spark, d, "events")), "complete")
+    last = out.agg(F.max("_batch").alias("_batch"))
+    got = out.join(F.broadcast(last), "_batch").drop("_batch")  # one row
+    return got.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
 
 
 @query("select user_id, min(event_id) as first_id from (select *, row_number() over (partition by user_id order by ts, event_id) as r from events where user_id is not null) where r = 1 group by user_id")

@@ -1,10 +1,11 @@
 """A source of paged answers: one partition per query, pages by cursor.
 
 ``spark.dataSource.register(CursorPages)`` and read with options ``queries`` (a JSON list),
-``fetch`` ("module:function") and ``cap``. The function takes (query, cursor) and returns a
+``fetch`` ("module:function") and, if wanted, ``cap``. The function takes (query, cursor) and returns a
 dict with ``rows`` (JSON texts), ``next`` (cursor or null) and ``total``. Reading stops at an
-empty page, a missing or unmoving cursor, or the cap; an error raises, so that it never looks
-like an empty answer. Rows carry the total that the service declares, for coverage.
+empty page, a missing or unmoving cursor, or the cap, without which all is read; an error raises,
+so that it never looks like an empty answer. Rows carry the total that the service declares, and
+``complete`` is false in the last row of a query that the cap cut short.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ class _Query(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.queries = json.loads(options["queries"])
-        self.fetch, self.cap = options["fetch"], int(options.get("cap", 10_000))
+        self.fetch, self.cap = options["fetch"], int(options["cap"]) if options.get("cap") else None
 
     def partitions(self) -> list[_Query]:
         return [_Query(i, q) for i, q in enumerate(self.queries)]
@@ -34,14 +35,17 @@ class _Reader(DataSourceReader):
         module, name = self.fetch.split(":")
         call = getattr(importlib.import_module(module), name)
         cursor, n = None, 0
-        while n < self.cap:
+        while True:
             page = call(partition.text, cursor)
-            if not page["rows"]:
-                return
-            for row in page["rows"][: self.cap - n]:
-                yield (partition.text, n, row, page.get("total"))
+            rows, ended = page["rows"], page.get("next") in (None, cursor)
+            for i, row in enumerate(rows):
+                last = self.cap is not None and n + 1 == self.cap
+                cut = last and (i + 1 < len(rows) or not ended)
+                yield (partition.text, n, row, page.get("total"), not cut)
                 n += 1
-            if page.get("next") in (None, cursor):
+                if last:
+                    return
+            if not rows or ended:
                 return
             cursor = page["next"]
 
@@ -52,7 +56,7 @@ class CursorPages(DataSource):
         return "cursor_pages"
 
     def schema(self) -> str:
-        return "query string, pos int, payload string, total int"
+        return "query string, pos int, payload string, total int, complete boolean"
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)

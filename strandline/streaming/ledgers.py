@@ -51,7 +51,8 @@ def history(events: DataFrame) -> DataFrame:
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
-    """(user_id, start, end, n): session windows that the watermark has closed."""
+    """(user_id, start, end, n): session windows; in append mode those that the watermark has closed,
+    in complete mode all of them, open ones as they stand."""
     rows = events.select("user_id", F.col("ts").cast("timestamp").alias("ts")).withWatermark("ts", late)
     got = rows.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count(F.lit(1)).alias("n"))
     return got.select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
