@@ -133,7 +133,43 @@ union all select text_key, 'work', ow.entry, vw, fits from f where vw is not nul
 """
 _COMBINED = _COMBINED.replace("TITLE", _USABLE.split("'title', title from g\n  where ", 1)[1].split("\n), r as (")[0])
 
+# Brute force over all pairs that share a shingle, or a piece and a name.
+_ALIKE = """
+with recursive a as (
+  select citekey, min(text) as text from abstracts where citekey is not null and text is not null and len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) >= 20 group by citekey
+), w as (
+  select citekey, regexp_extract_all(lower(text), '[\\pL\\pN]+') as ws from a
+), g as (
+  select distinct citekey, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as s from (select citekey, ws, unnest(range(1, len(ws) - 1)) as i from w)
+), gn as (
+  select citekey, count(*) as n from g group by 1
+), tx as (
+  select x.citekey as a, y.citekey as b from g x join g y on x.s = y.s and x.citekey < y.citekey join gn p on p.citekey = x.citekey join gn q on q.citekey = y.citekey
+  group by x.citekey, y.citekey having count(*) >= 0.5 * (any_value(p.n) + any_value(q.n) - count(*)) - 1e-9
+), m as (
+  select entry_id, manifest.citekey, gn.n is not null as has, regexp_replace(lower(strip_accents(title)), '[^a-z0-9]', '', 'g') as t,
+    list_sort(list_distinct(list_filter(list_transform(authors, lambda x: regexp_replace(lower(strip_accents(x.family)), '[^a-z0-9]', '', 'g')), lambda x: x <> ''))) as f
+  from manifest left join gn using (citekey) where entry_id is not null
+), ft as (
+  select entry_id, unnest(f) as n from m where length(t) >= 3
+), tp as (
+  select entry_id, has, f, list_distinct(list_transform(range(1, length(t) - 1), lambda i: t[i:i + 2])) as p from m where length(t) >= 3 and len(f) > 0
+), tt as (
+  select x.entry_id as a, y.entry_id as b from (select distinct u.entry_id as a, v.entry_id as b from ft u join ft v on u.n = v.n and u.entry_id < v.entry_id) c join tp x on x.entry_id = c.a join tp y on y.entry_id = c.b
+  where not (x.has and y.has) and len(list_intersect(x.f, y.f)) >= 0.5 * (len(x.f) + len(y.f) - len(list_intersect(x.f, y.f))) - 1e-9
+    and len(list_intersect(x.p, y.p)) >= 0.7 * (len(x.p) + len(y.p) - len(list_intersect(x.p, y.p))) - 1e-9
+), l as (
+  select x.entry_id as a, y.entry_id as b from tx join m x on x.citekey = tx.a join m y on y.citekey = tx.b
+  union select a, b from tt
+), ways as (
+  select a, b from l union select b, a from l
+), reach as (
+  select a as x, a as y from ways union select reach.x, ways.b from reach join ways on ways.a = reach.y
+)
+"""
+
 ORACLES: dict[str, str] = {
+    "p2_found": _ALIKE + "select distinct x as entry_a, y as entry_b from reach where x < y",
     "p4_consistent": _COMBINED,
     "p4_found": _USABLE + "select text_key, field, entry_id from r where n = 1",
     "p4_survivors": _USABLE
