@@ -263,6 +263,15 @@ def inside(nodes: Column, kind: str, base: Column | int = 0, contents: bool = Tr
     return let(nodes, lambda every: F.array_compact(F.transform(every, lambda n, i: pick(every, n, i))))
 
 
+def children(nodes: Column, depth: Column, base: Column) -> Column:
+    """As ``inside``, but the nodes of any kind at one depth, with their kind."""
+
+    def pick(every: Column, n: Column, i: Column) -> Column:
+        return F.when(n.depth == depth, F.struct((i + base).alias("pre"), n.kind.alias("kind"), n["name"].alias("name"), n.depth.alias("depth"), F.slice(every, i + 2, n.size - 1).alias("below")))
+
+    return let(nodes, lambda every: F.array_compact(F.transform(every, lambda n, i: pick(every, n, i))))
+
+
 def holder(nodes: Column, x: Column) -> Column:
     """The innermost of the nodes whose interval contains that of ``x``; null for none."""
     return F.try_element_at(F.filter(nodes, lambda h: (h.pre < x.pre) & (h.post > x.post)), F.lit(-1))
@@ -284,15 +293,17 @@ def single_values(trees: DataFrame, labels: bool = True) -> DataFrame:
         more = [v.num.alias("value"), pre.alias("pre"), (pre - v.depth + v.size - 1).alias("post"), m.pre.alias("parent_pre")] if labels else []
         return F.struct(item.ordinal.alias("exposure_no"), block.alias("block"), m["name"].alias("field"), v.ordinal.alias("value_no"), *more)
 
-    def of_block(item: Column, block: Column, measures: Column) -> Column:
-        held = F.filter(measures, lambda m: F.size(m.below) > 0)
-        each = F.transform(held, lambda m: F.transform(m.below, lambda v, i: row(item, block, m, v, i)))  # a measure contains nothing but numbers
-        return F.flatten(each)
+    def of_measure(item: Column, block: Column, m: Column) -> Column:
+        return F.transform(m.below, lambda v, i: row(item, block, m, v, i))  # a measure contains nothing but numbers
+
+    def of_child(item: Column, c: Column) -> Column:
+        measures = F.filter(children(c.below, c.depth + 1, c.pre + 1), lambda m: m.kind == "measure")
+        nested = F.flatten(F.transform(measures, lambda m: of_measure(item, c["name"], m)))
+        return F.when(c.kind == "measure", of_measure(item, F.lit("exposure"), c)).when(c.kind == "block", nested)
 
     def of_item(item: Column) -> Column:
-        own = F.filter(inside(item.below, "measure", item.pre + 1), lambda m: m.depth == item.depth + 1)
-        blocks = F.transform(inside(item.below, "block", item.pre + 1), lambda b: of_block(item, b["name"], inside(b.below, "measure", b.pre + 1)))
-        return F.flatten(F.concat(F.array(of_block(item, F.lit("exposure"), own)), blocks))
+        full = F.filter(children(item.below, item.depth + 1, item.pre + 1), lambda c: F.size(c.below) > 0)
+        return F.flatten(F.array_compact(F.transform(full, lambda c: of_child(item, c))))
 
     got = _each_item(trees, of_item).select("record_id", "r.*")
     known = reduce(lambda a, c: a | c, [(F.col("block") == b) & F.col("field").isin(*ms) for b, ms in BLOCKS.items()])
