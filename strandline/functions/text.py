@@ -249,6 +249,11 @@ def journal_key(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), "^the ", ""), "&", "and")
 
 
+def reason_alone(c: Column, mark: str = " Parked under") -> Column:
+    """A reason without the standing text that begins with ``mark``."""
+    return F.substring_index(c, mark, 1)
+
+
 # Spellings that are folded on reading.
 SPELLINGS = {"anesthetised": "anaesthetised", "anesthetized": "anaesthetised", "anaesthetized": "anaesthetised"}
 

@@ -335,6 +335,8 @@ def assign_keys(papers: DataFrame, released: DataFrame, working: DataFrame, doi:
     longer bases take all suffixes. ``papers(doi, base)``, ``released(doi, key)``,
     ``working(doi, key)``.
     """
+    from strandline.session import cut
+
     p = papers.select(F.col(doi).alias("doi"), "base").distinct()
     bases = p.select(F.col("base").alias("key")).distinct()
     suffixed = lambda k, b: F.expr(f"startswith({k}, {b}) and substring({k}, length({b}) + 1) rlike '^[a-z]+$'")
@@ -348,10 +350,10 @@ def assign_keys(papers: DataFrame, released: DataFrame, working: DataFrame, doi:
     reserved = released.select("key").distinct()
     cands = rel.unionByName(bare.join(reserved, "key", "left_anti")).unionByName(tail.join(reserved, "key", "left_anti"))
     won = cands.groupBy("key").agg(F.min(F.struct("cls", "doi", "base")).alias("w")).select("key", "w.*")
-    kept = won.groupBy("doi", "base").agg(F.min(F.struct("cls", F.length("key").alias("len"), "key")).alias("w")).select("doi", "base", F.col("w.key").alias("key"))
+    kept = cut(won.groupBy("doi", "base").agg(F.min(F.struct("cls", F.length("key").alias("len"), "key")).alias("w")).select("doi", "base", F.col("w.key").alias("key")))  # used five times
     taken = reserved.unionByName(kept.select("key")).distinct()
     sizes = p.groupBy("base").agg(F.count(F.lit(1)).alias("size"))
-    fresh = p.join(kept.select("doi"), "doi", "left_anti").join(sizes, "base")
+    fresh = cut(p.join(kept.select("doi"), "doi", "left_anti").join(sizes, "base"))
     free_base = fresh.where("size = 1").join(taken.select(F.col("key").alias("base")), "base", "left_anti").select("doi", "base", F.col("base").alias("key"))
     rest = fresh.join(free_base.select("doi"), "doi", "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("base").orderBy("doi")))
     # Candidates: as many suffixes as newcomers and taken keys, past those that longer bases take.

@@ -12,6 +12,7 @@ from strandline.functions import keys, text
 from strandline.operators import packing_plan, relational as rel
 from strandline.plans.registry import Registry
 from strandline.session import cut, table
+from strandline.sources import readers
 
 query = Registry()
 
@@ -430,3 +431,62 @@ def q_move_plan(spark: SparkSession, d: str) -> DataFrame:
     got = rel.ranked_within(every, "dst", ["kind", "entry_id", "src"], "k")
     got = got.withColumn("dst", F.when(F.col("k") == 1, F.col("dst")).otherwise(F.replace("dst", F.lit(".pdf"), F.concat(F.lit("_"), F.col("k").cast("string"), F.lit(".pdf"))))).drop("k")
     return got.unionByName(every.where("dst is null"))
+
+
+@query(f"""
+with m as (select citekey, min({_BARE}) as own from manifest where citekey is not null group by 1)
+select abstract_id from (select abstract_id, citekey, text, {_BARE} as k from abstracts) a join m using (citekey) where k = own and length(trim(text)) > 0
+""")
+def q_rechecked(spark: SparkSession, d: str) -> DataFrame:
+    """Abstracts that were fetched for the key that their entry bears."""
+    m = table(spark, d, "manifest").where("citekey is not null").groupBy("citekey").agg(F.min(keys.bare_key(F.col("doi"))).alias("own"))
+    a = table(spark, d, "abstracts").select("abstract_id", "citekey", "text", keys.bare_key(F.col("doi")).alias("k"))
+    return readers.rechecked(a.join(m, "citekey"), "own", "k", "text").select("abstract_id")
+
+
+@query("select count(*) filter (coalesce(length(trim(text)), 0) = 0) as n_missing, count(*) filter (coalesce(length(trim(text)), 0) = 0 and coalesce(regexp_matches(source_id, '^[0-9]+$'), false)) as n_fixable from abstracts")
+def q_lookup_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Texts that are missing, and those that an id can bring."""
+    return readers.lookup_plan(table(spark, d, "abstracts"), "text", "source_id")
+
+
+_ACCESS = "case when files.pdf is not null then 'held' when preprint.doi is not null then 'preprint' when regexp_matches(doi, '10\\.[0-9]{4,9}/') then 'by_key' else 'unknown' end"
+
+
+@query(f"select access, count(*) as n, row_number() over (order by count(*) desc, access) as pos from (select {_ACCESS} as access from manifest) group by access")
+def q_access_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Sections of a want-list by how an entry can be had, the largest first."""
+    access = F.when(F.col("files.pdf").isNotNull(), "held").when(F.col("preprint.doi").isNotNull(), "preprint").when(F.col("doi").rlike("10\\.[0-9]{4,9}/"), "by_key").otherwise("unknown")
+    n = table(spark, d, "manifest").groupBy(access.alias("access")).agg(F.count(F.lit(1)).alias("n"))
+    return rel.numbered(n, [F.desc("n"), F.col("access")])
+
+
+@query(f"""
+with {_LEDGER}, c as (select quantile_disc(screened_at, 0.5) as mid from ledger), f as (select k, min(screened_at) as s from l group by 1)
+select count(*) filter (s <= mid) as n_before, count(*) as n_after, greatest(0, count(*) - count(*) filter (s <= mid)) as screened from f, c
+""")
+def q_screened(spark: SparkSession, d: str) -> DataFrame:
+    """Keys in the ledger at its middle and at its end, and those screened between."""
+    mid = table(spark, d, "ledger").agg(F.expr("percentile_disc(0.5) within group (order by unix_micros(cast(screened_at as timestamp)))").cast("long").alias("mid"))
+    first = ledger(spark, d).where("k is not null").groupBy("k").agg(F.min(F.unix_micros(F.col("screened_at").cast("timestamp"))).alias("s"))
+    got = first.join(F.broadcast(mid)).agg(F.count_if(F.col("s") <= F.col("mid")).alias("n_before"), F.count(F.lit(1)).alias("n_after"))  # one row
+    return got.withColumn("screened", F.greatest(F.lit(0), F.col("n_after") - F.col("n_before")))
+
+
+@query(f"""
+with {_VERSIONS}, y as (select citekey, min(year) as year from manifest where citekey is not null group by 1)
+select n.citekey, case when coalesce(y.year, 0) >= 2020 then 'new' else 'historical' end as age from new n left join y using (citekey) where n.citekey not in (select citekey from old)
+""")
+def q_added_by_age(spark: SparkSession, d: str) -> DataFrame:
+    """Keys added between two versions, recent ones apart from those found late."""
+    old, new = versions(spark, d)
+    y = table(spark, d, "manifest").where("citekey is not null").groupBy("citekey").agg(F.min("year").alias("year"))
+    got = new.select("citekey").join(old.select("citekey"), "citekey", "left_anti").join(y, "citekey", "left")
+    return got.select("citekey", F.when(F.coalesce("year", F.lit(0)) >= 2020, "new").otherwise("historical").alias("age"))
+
+
+@query("select entry_id, row_number() over (order by case when regexp_matches(lower(title), 'ultraso|stimulat') then 0 else 1 end, entry_id) as pos from manifest")
+def q_title_first(spark: SparkSession, d: str) -> DataFrame:
+    """Work order: entries whose title is on the subject first, then the others."""
+    m = table(spark, d, "manifest").select("entry_id", F.when(F.lower("title").rlike("ultraso|stimulat"), 0).otherwise(1).alias("late"))
+    return rel.numbered(m, [F.col("late"), F.col("entry_id")]).select("entry_id", "pos")

@@ -124,3 +124,15 @@ def sections_first(xml: Column, first: tuple[str, ...] = ("method", "result"), l
     rank = lambda t: F.coalesce(*[F.when(F.contains(F.lower(t), F.lit(f)), F.lit(i)) for i, f in enumerate(first)], F.lit(len(first)))
     secs = F.transform(F.arrays_zip(titles.alias("t"), bodies.alias("b")), lambda s, i: F.struct(rank(s["t"]).alias("r"), i.alias("i"), F.coalesce(s["b"], F.lit("")).alias("b")))
     return F.substring(F.array_join(F.transform(F.array_sort(secs), lambda s: s.b), "\n"), 1, limit)
+
+
+def rechecked(hits: DataFrame, wanted: str, got: str, body: str) -> DataFrame:
+    """The hits of a lookup that are for the very key asked for (case apart) and have a text."""
+    same = F.lower(F.trim(wanted)) == F.lower(F.trim(got))
+    return hits.where(same & (F.length(F.trim(body)) > 0))
+
+
+def lookup_plan(rows: DataFrame, body: str, source_id: str) -> DataFrame:
+    """(n_missing, n_fixable): rows without a text, and those among them whose id can be looked up."""
+    none = F.coalesce(F.length(F.trim(body)), F.lit(0)) == 0
+    return rows.agg(F.count_if(none).alias("n_missing"), F.count_if(none & F.coalesce(F.col(source_id).rlike("^[0-9]+$"), F.lit(False))).alias("n_fixable"))

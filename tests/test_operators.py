@@ -318,6 +318,25 @@ def test_rulings_and_reporting(spark):
     assert facts.checks(a).count() == 2 and facts.block_discipline(a).count() > 0
 
 
+def test_oversized_items_are_alone(spark):
+    df = spark.createDataFrame([(1, 20), (2, 9), (3, 6), (4, 99), (5, None), (6, 20)], "i int, n int")
+    assert {r.i: r.batch_no for r in packing_plan.first_fit(df, "i", "n", 15).collect()} == {4: 0, 1: 1, 6: 2, 2: 3, 3: 3, 5: 4}
+    assert packing_plan.first_fit(df.limit(0), "i", "n", 15).count() == 0
+
+
+def test_pages_without_a_cap(spark, tmp_path):
+    from strandline.sources.paged import CursorPages
+
+    os.makedirs(tmp_path / "q")
+    for n in range(3):
+        (tmp_path / "q" / f"{n}.json").write_text(json.dumps({"rows": [{"k": 10 * n + i} for i in range(10)], "total": 30}))
+    spark.dataSource.register(CursorPages)
+    read = lambda **o: spark.read.format("cursor_pages").options(queries=json.dumps([str(tmp_path / "q")]), fetch="strandline.sources.paged:landed", **o).load()
+    assert read().count() == 30 and read().where("not complete").count() == 0
+    cut = read(cap="15")
+    assert cut.count() == 15 and [r.pos for r in cut.where("not complete").collect()] == [14]
+
+
 def test_sources_and_sinks(spark, tmp_path):
     from pyspark.sql.types import StringType, StructField, StructType
 
