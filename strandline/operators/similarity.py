@@ -1,45 +1,106 @@
-"""Exact set-similarity join of short token sets by prefix filtering, all in expressions.
+"""Exact set-similarity join of short token sets by combinations of hashed parts.
 
 Meant for titles and name lists. Sets are reduced to classes of equal sets first; links are
-between class representatives, and membership is returned beside them, so a third of all
-rows being copies costs one class. Tokens are ordered by how many classes hold them; similar
-classes share a token of their prefixes, and the join is on those tokens with the size bound.
+between classes, and membership is returned beside them, so a third of all rows being copies
+costs one class. Sets that differ in at most d tokens, put into d + 2 parts by the tokens'
+hashes, have two parts in common, so each pair of parts is a signature: about half a title,
+which few others hold however frequent its words are. Pairs that share one are tested against
+parity bits before they are written anywhere, so what is written is nearly free of false pairs.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import text as tx
-from strandline.session import cut, shuffle_partitions
+from strandline.session import cut, shuffle_partitions, small_enough
+
+#: Above so many differing tokens single parts are signatures: their pairs would be too many.
+PAIRED = 6
+#: Sets in links up to which their hashes are broadcast, some 30 MB; more are joined by shuffle.
+SENT = 1_000_000
+
+
+def differences(n: int, t: float) -> list[int]:
+    """Numbers of differing tokens, 1 or more, that Jaccard similarity ``t`` allows a set of
+    size n and its partners of each size."""
+    most = {math.floor((1 - t) / (1 + t) * (n + m) + 1e-9) for m in range(math.ceil(t * n - 1e-9), math.floor(n / t + 1e-9) + 1)}
+    return sorted(most - {0})
+
+
+def part_signatures(hashes: np.ndarray, size: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, position of the set) of sets whose tokens' hashes stand one after the other."""
+    U = np.uint64  # noqa: N806
+    own = np.repeat(np.arange(len(size)), size)
+    by_size = {n: differences(n, t) for n in np.unique(size).tolist()}
+    sigs, sets = [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    for d in sorted({d for ds in by_size.values() for d in ds}):
+        use = np.isin(size, [n for n, ds in by_size.items() if d in ds])
+        who = np.flatnonzero(use)
+        at = (np.cumsum(use) - 1)[own[use[own]]]
+        token = hashes[use[own]]
+        together = 2 if d <= PAIRED else 1
+        parts = d + together
+        total = np.zeros((len(who), parts), U)
+        np.add.at(total, (at, ((token >> U(32)) % U(parts)).astype(np.int64)), token)
+        for k, some in enumerate(itertools.combinations(range(parts), together)):
+            sig = np.full(len(who), d * 4096 + k, U)
+            for j in some:
+                sig = (sig ^ total[:, j]) * U(0x9E3779B97F4A7C15)
+                sig ^= sig >> U(29)
+            sigs.append(sig)
+            sets.append(who)
+    return np.concatenate(sigs), np.concatenate(sets)
 
 
 def set_join(df: DataFrame, key: str, tokens: Column, t: float) -> tuple[DataFrame, DataFrame]:
     """(members, links): members(key, class_id), links(a, b, similarity) of different classes
     with Jaccard similarity ``t`` or more, a < b. Empty and null sets are in no class."""
-    rows = df.select(key, F.array_sort(F.array_distinct(tokens)).alias("s")).where("size(s) > 0")
-    rows = rows.withColumn("h", F.xxhash64("s"))
-    members = cut(rows.groupBy("h", "s").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("n")))
-    joined = rows.join(members.select("h", "s", "class_id"), ["h", "s"]).select(key, "class_id")
-    each = members.select("class_id", F.size("s").alias("n"), F.explode("s").alias("tok"))
-    freq = each.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    ordered = each.join(freq, "tok").groupBy("class_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))  # one set's tokens
-    # Prefix length n - ceil(t n) + 1; tokens of one class alone link nothing.
-    pre = ordered.select("class_id", "n", F.explode(F.slice("o", F.lit(1), F.col("n") - F.ceil(F.col("n") * t - 1e-9).cast("int") + 1)).alias("p")).where("p.df > 1")
-    pre = pre.select("class_id", "n", F.col("p.tok").alias("tok"))
-    x, y = pre.alias("x"), pre.alias("y")
-    maybe = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.class_id") < F.col("y.class_id")) & (F.least("x.n", "y.n") >= t * F.greatest("x.n", "y.n") - 1e-9))
-    maybe = maybe.select(F.col("x.class_id").alias("a"), F.col("y.class_id").alias("b")).distinct()
-    s = members.select("class_id", "s")
-    both = maybe.join(s.select(F.col("class_id").alias("a"), F.col("s").alias("sa")), "a").join(s.select(F.col("class_id").alias("b"), F.col("s").alias("sb")), "b")
+    rows = cut(df.select(key, F.array_sort(F.array_distinct(tokens)).alias("s")).where("size(s) > 0"))
+    for salt in itertools.count():  # a set is named by one hash; another salt, if a second hash shows that two sets share it
+        rows = rows.withColumn("h", F.xxhash64(F.lit(salt), "s"))
+        other = F.xxhash64(F.lit("other"), "s")
+        classes = cut(rows.groupBy("h").agg(F.min(key).alias("class_id"), (F.min(other) != F.max(other)).alias("mixed")))
+        if classes.where("mixed").isEmpty():
+            break
+    classes = classes.select("h", "class_id")
+    joined = rows.join(classes, "h").select(key, "class_id")
+    loose = t - 2e-9  # as the comparison below
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h, hashes = b.column(0).to_numpy(), b.column(1).flatten().to_numpy().view(np.uint64)
+            size = np.diff(b.column(1).offsets.to_numpy())
+            once = np.zeros(len(h), bool)
+            once[np.unique(h, return_index=True)[1]] = True  # copies once
+            hashes, h, size = hashes[np.repeat(once, size)], h[once], size[once]
+            flips = np.bincount(np.repeat(np.arange(len(h)), size) * 64 + (hashes >> np.uint64(26) & np.uint64(63)).astype(np.int64), minlength=len(h) * 64)
+            bits = np.packbits((flips & 1).astype(np.uint8).reshape(-1, 64), axis=1).view(np.int64).ravel()
+            sig, who = part_signatures(hashes, size, loose)
+            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(h[who]), pa.array(size[who].astype(np.int32)), pa.array(bits[who])], ["sig", "h", "n", "bits"])
+
+    sig = rows.select("h", F.transform("s", lambda x: F.xxhash64(x)).alias("v")).mapInArrow(emit, "sig long, h long, n int, bits long")
+    x, y = sig.alias("x"), sig.alias("y")
+    near = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.h") < F.col("y.h")) & (F.least("x.n", "y.n") >= loose * F.greatest("x.n", "y.n") - 1e-9)
+    near &= F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= (1 - loose) / (1 + loose) * (F.col("x.n") + F.col("y.n")) + 1e-9
+    maybe = cut(x.join(y, near).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct())
+    wanted = small_enough(cut(maybe.select(F.explode(F.array("a", "b")).alias("h")).distinct()), SENT)
+    named = classes.join(wanted, "h", "left_semi")
+    s = rows.join(wanted, "h", "left_semi").groupBy("h").agg(F.first("s").alias("s")).join(named, "h")
+    side = lambda k: s.select(F.col("h").alias(k), F.col("class_id").alias(f"c{k}"), F.col("s").alias(f"s{k}"))
+    both = maybe.join(side("a"), "a").join(side("b"), "b").where("ca <> cb")
     same = F.size(F.array_intersect("sa", "sb"))
     sim = same / (F.size("sa") + F.size("sb") - same)
-    return joined, both.select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= t - 1e-9)
+    links = both.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), sim.alias("similarity"))
+    return joined, links.where(F.col("similarity") >= t - 1e-9)
 
 
 def letter_counts(c: str) -> Column:

@@ -3,6 +3,7 @@ import os
 import random
 import string
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -291,6 +292,46 @@ def test_set_join_matches_brute_force(spark):
     assert {(r.a, r.b) for r in links.collect()} == {(a, b) for a in reps for b in reps if a < b and jac(sets[a], sets[b]) >= 0.6}
 
 
+def test_set_join_of_frequent_tokens_writes_few_pairs(spark):
+    rnd = random.Random(6)
+    words = [f"w{i:02d}" for i in range(60)]
+    sets = [rnd.sample(words, 15) for _ in range(3000)]
+    sets += [[*s[1:], "new"] for s in sets[:200]] + [s[1:] for s in sets[200:300]] + sets[:50]
+    df = spark.createDataFrame(list(enumerate(sets)), "i int, s array<string>")
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = written()
+    members, links = similarity.set_join(df, "i", F.col("s"), 0.85)
+    got = {(r.a, r.b) for r in links.collect()}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert written() - before < 4_000_000
+    m = np.zeros((len(sets) - 50, 61), int)
+    for i, s in enumerate(sets[:-50]):
+        m[i, [60 if w == "new" else int(w[1:]) for w in s]] = 1
+    both, n = m @ m.T, m.sum(1)
+    want = np.argwhere(np.triu(both >= 0.85 * (n[:, None] + n[None, :] - both) - 1e-9, 1))
+    assert got == {tuple(x) for x in want.tolist()} and len(got) >= 300
+    assert {r.i: r.class_id for r in members.collect()} == {i: i if i < len(sets) - 50 else i - len(sets) + 50 for i in range(len(sets))}
+
+
+def test_part_signatures_miss_no_pair():
+    rnd = np.random.default_rng(2)
+    hashes = rnd.integers(0, 2**63, 400).astype(np.uint64)
+    for t, n in ((0.85, 15), (0.6, 12), (0.5, 31), (0.3, 40)):
+        sets = []
+        for _ in range(60):
+            s = rnd.permutation(400)[:n]
+            sets += [s, np.concatenate((s[: n - int(rnd.integers(0, n // 2))], rnd.permutation(400)[: int(rnd.integers(0, n // 3))]))]
+        sets = [np.unique(s) for s in sets]
+        sig, who = similarity.part_signatures(hashes[np.concatenate(sets)], np.array([len(s) for s in sets]), t)
+        runs = {}
+        for v, w in zip(sig.tolist(), who.tolist()):
+            runs.setdefault(v, set()).add(w)
+        found = {(a, b) for r in runs.values() for a in r for b in r if a < b}
+        jac = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        want = {(a, b) for a in range(120) for b in range(a + 1, 120) if t <= jac(sets[a], sets[b]) < 1}
+        assert want and want <= found
+
+
 def test_nearest(spark):
     rnd = random.Random(1)
     vecs = {i: [rnd.gauss(0, 1) for _ in range(5)] for i in range(40)} | {40: [0.0] * 5}
