@@ -205,6 +205,31 @@ def test_set_links_match_brute_force(spark, monkeypatch, rare, chance, groups):
     assert {(r.a, r.b) for r in links.collect()} == want and want
 
 
+def test_copies_in_other_batches_are_sent_once(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    body = [[rnd.choice(words) for _ in range(60)] for _ in range(40)]
+    body += [[*w[:55], "x", "y"] for w in body[:10]]
+    df = spark.createDataFrame([(f"k{j}.{i}", " ".join(w)) for j in range(100) for i, w in enumerate(body)], "i string, text string").repartition(4).cache()
+    df.count()
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before, usual = written(), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        members, links = similar.similar_texts(df, "i")
+        got = {(r.a, r.b) for r in links.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert written() - before < 1_000_000
+    digest = {r.i: r.digest for r in members.collect()}
+    assert len(digest) == 5000 and len(set(digest.values())) == 50 and all(d == digest["k0." + i.split(".")[1]] for i, d in digest.items())
+    sets = [{tuple(w[k : k + 3]) for k in range(len(w) - 2)} for w in body]
+    alike = lambda a, b: len(a & b) >= 0.5 * len(a | b)
+    assert got == {tuple(sorted((digest[f"k0.{a}"], digest[f"k0.{b}"]))) for a in range(50) for b in range(a) if alike(sets[a], sets[b])} and len(got) >= 10
+    df.unpersist()
+
+
 def test_words_and_hashes():
     texts = [*ODD, None, "ΟΔΟΣ ½ a_b ﬁ", "y" * 70_000 + " z"]
     h, n = sg.WordHash()(texts)
